@@ -104,9 +104,12 @@ def badge_distribution(per_user: DataFrame) -> DataFrame:
 
 
 def badge_distribution_subquery(per_user: DataFrame) -> DataFrame:
-    """The same result with the total as a scalar subquery over the users."""
-    total = per_user.select(F.count(F.lit(1))).scalar()
-    return _distribution(_users_per_count(per_user), total)
+    """The same result with the total as a scalar subquery.
+
+    It adds up the counts rather than the users, so both sides share one shuffle of the users.
+    """
+    counts = _users_per_count(per_user)
+    return _distribution(counts, counts.select(F.sum("_groups")).scalar())
 
 
 def _frequency(panel: DataFrame, column: str, alias: str, mode: str) -> DataFrame:

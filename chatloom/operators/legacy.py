@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from chatloom.schemas import BADGE_COLUMNS
 
 # A bare None, True or False is a value: it follows ``[``, ``,`` or ``:`` and ends at ``,``, ``]`` or ``}``.
-_BARE = r"(?<=[\[,:]\s?){}(?=\s?[,\]}}])"
+# The word comes first in the pattern, so that the search skips to it.
+_BARE = r"{0}(?<=[\[,:]\s?{0})(?=\s?[,\]}}])"
 
 
 def _as_json(text: Column) -> Column:
@@ -23,7 +24,7 @@ def legacy_badge_info(panel: DataFrame, sep: str = ", ") -> DataFrame:
 
     A badge without the field counts as empty text; an explicit None version as ``None``.
     """
-    badges = F.from_json(
+    parsed = F.from_json(
         _as_json(F.col("i_badges")),
         "array<map<string,string>>",
         {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
@@ -34,12 +35,13 @@ def legacy_badge_info(panel: DataFrame, sep: str = ", ") -> DataFrame:
             absent = F.when(F.map_contains_key(badge, field), F.lit(explicit_null)).otherwise(F.lit(""))
             return F.coalesce(badge[field], absent)
 
-        return F.coalesce(F.array_join(F.transform(badges, text), sep), F.lit(""))
+        return F.coalesce(F.array_join(F.transform("_badges", text), sep), F.lit(""))
 
     nulls = {"name": "", "title": "", "version": "None"}
-    return panel.withColumns(
+    # The text is parsed in a step of its own, so once and not once per column.
+    return panel.withColumn("_badges", parsed).withColumns(
         {column: joined(field, null) for column, (field, null) in zip(BADGE_COLUMNS, nulls.items())}
-    ).drop("i_badges")
+    ).drop("i_badges", "_badges")
 
 
 def select_legacy_columns(panel: DataFrame) -> DataFrame:
