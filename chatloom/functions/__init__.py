@@ -1,7 +1,8 @@
 from chatloom.functions.columns import (
     badge_count,
     badge_field,
-    file_name_parts,
+    chat_file_name,
+    chat_file_tokens,
     micros_to_timestamp,
     percentage,
     safe_title,
@@ -12,7 +13,8 @@ from chatloom.functions.frames import numbered, parse_years, size_checked, year_
 __all__ = [
     "badge_count",
     "badge_field",
-    "file_name_parts",
+    "chat_file_name",
+    "chat_file_tokens",
     "micros_to_timestamp",
     "numbered",
     "parse_years",

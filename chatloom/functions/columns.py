@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The format of a chat file's name, {channel}_{year}_{number}_{vod id}.json, or
-# {channel}_{year}_{number}.json in the oldest files. A broadcast may also be a folder of that
-# name holding several part files, as Spark writes it (optionally as key=value).
-CHAT_FILE = r"^(?:.*[/=])?([^/=]+?)_((?:19|20)\d{2})_(\d+)(?:_(\d+))?\.json(?:/[^/]*)?$"
+# {channel}_{year}_{number}.json in the oldest files.
+CHAT_FILE = r"^(.+?)_((?:19|20)\d{2})_(\d+)(?:_(\d+))?\.json$"
 
 
 def micros_to_timestamp(micros: Column) -> Column:
@@ -44,20 +43,16 @@ def safe_title(title: Column, length: int = 50) -> Column:
     return F.substring(F.regexp_replace(title, r"[^\p{L}\p{N}._-]", "_"), 1, length)
 
 
-def file_name_parts(path: Column) -> dict[str, Column]:
-    """File name, channel, year, number and VOD id from a chat file's path.
+def chat_file_name(path: Column) -> Column:
+    """The last part of a path, or the one before if that is a folder holding a broadcast's parts.
 
-    One regular expression per row; the pieces are cut from its result. All are NULL for a path
-    that is not a chat file's.
+    Spark writes such folders as ``<name>.json/part-...`` or ``<key>=<name>.json/part-...``.
     """
-    matched = F.nullif(F.regexp_replace(path, CHAT_FILE, "$1/$2/$3/$4"), path)
-    parts = F.split(matched, "/")
-    vod_id = F.nullif(parts[3], F.lit(""))
-    stem = F.concat_ws("_", parts[0], parts[1], parts[2], vod_id)
-    return {
-        "file_name": F.when(parts.isNotNull(), F.concat(stem, F.lit(".json"))),
-        "channel": parts[0],
-        "year": parts[1].cast("int"),
-        "file_seq": parts[2].cast("int"),
-        "vod_id": vod_id,
-    }
+    last = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.substring_index(F.when(last.endswith(".json"), last).otherwise(folder), "=", -1)
+
+
+def chat_file_tokens(name: Column) -> Column:
+    """Channel, year, number and VOD id (or ``""``) in a chat file's name; else one element."""
+    return F.split(F.regexp_replace(name, CHAT_FILE, "$1/$2/$3/$4"), "/")

@@ -41,24 +41,29 @@ def size_checked(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 <<
 
 
 def numbered(
-    df: DataFrame, name: str, group: Sequence[str], bucket: Column, order: Sequence[str], start: int = 1
+    df: DataFrame,
+    name: str,
+    group: Sequence[str],
+    buckets: Sequence[Column],
+    order: Sequence[str],
+    start: int = 1,
 ) -> DataFrame:
     """Number the rows of each group in ``order``, without sorting a whole group in one task.
 
-    ``bucket`` must not decrease along ``order``. Rows are numbered inside their bucket; the
-    number of rows in earlier buckets comes from a table of bucket counts.
+    ``buckets`` divide a group, each one the pieces of the one before, and must not decrease
+    along ``order``. Rows are numbered inside the smallest piece; how many rows lie before a
+    piece comes from running totals over piece counts, one level after the other.
     """
-    keys = [*group, "_bucket"]
-    bucketed = df.withColumn("_bucket", bucket)
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        bucketed.join(offsets, keys)
-        .withColumn(name, F.col("_before") + F.row_number().over(inside) + (start - 1))
-        .drop("_bucket", "_before")
-    )
+    columns = [f"_bucket{i}" for i in range(len(buckets))]
+    rows = df.withColumns(dict(zip(columns, buckets)))
+    keys = [*group, *columns]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) + F.lit(start - 1)
+    for i in range(len(buckets)):
+        outer, inner = keys[: len(group) + i], keys[: len(group) + i + 1]
+        earlier = Window.partitionBy(*outer).orderBy(columns[i]).rowsBetween(Window.unboundedPreceding, -1)
+        pieces = counts.groupBy(*inner).agg(F.sum("_rows").alias("_rows"))
+        before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(f"_before{i}")
+        rows = rows.join(pieces.select(*inner, before), inner)
+        number = number + F.col(f"_before{i}")
+    return rows.withColumn(name, number).select(*df.columns, name)

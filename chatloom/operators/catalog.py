@@ -38,8 +38,9 @@ def order_files(files: DataFrame) -> DataFrame:
 def day_number(files: DataFrame) -> DataFrame:
     """1-based position of each file's number among the numbers of its channel and year."""
     keys = ["channel", "year", "file_seq"]
+    thousands = F.expr("file_seq div 1000")
     numbers = numbered(
-        files.select(*keys).distinct(), "day_number", ["channel", "year"], F.expr("file_seq div 1000"), ["file_seq"]
+        files.select(*keys).distinct(), "day_number", ["channel", "year"], [thousands], ["file_seq"]
     )
     return files.join(numbers, keys)
 
@@ -47,8 +48,10 @@ def day_number(files: DataFrame) -> DataFrame:
 def download_manifest(vods: DataFrame, channel: str, years: DataFrame, root: str = "raw_bronze") -> DataFrame:
     """What to fetch: per year, broadcasts numbered from 0 by time, with target name and key."""
     wanted = vods.withColumn("year", F.year("created_at")).join(years, "year", "left_semi")
+    # A year is cut into hours, and a crowded hour further by instant and by ranges of ids.
     hour = F.date_trunc("hour", "created_at")
-    manifest = numbered(wanted, "file_number", ["year"], hour, ["created_at", "id"], start=0)
+    ids = F.struct("created_at", F.expr("id div 1000"))
+    manifest = numbered(wanted, "file_number", ["year"], [hour, ids], ["created_at", "id"], start=0)
     name = F.format_string(f"{channel}_%d_%03d_%d.json", "year", "file_number", "id")
     return manifest.withColumn("file_name", name).select(
         "year",

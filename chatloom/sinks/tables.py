@@ -35,10 +35,18 @@ def _partitioned(df: DataFrame, keys: list[str]):
     )
 
 
-def write_silver(panel: DataFrame, path: str) -> None:
-    """One folder per VOD; a rerun replaces the folders of the VODs it holds and no other."""
-    keys = [*PARTITIONS, "vod_id"]
-    _partitioned(_sized(panel, None, keys), keys).parquet(path)
+def write_silver(panel: DataFrame, path: str, per_vod: bool = True) -> None:
+    """Silver panel; a rerun replaces the folders it has rows for and no other.
+
+    With ``per_vod`` a folder is one VOD, so that a single VOD can be replaced. Without, it is a
+    channel's year with the rows in VOD order: the form for loading whole years, as committing
+    and listing do not grow with the number of VODs.
+    """
+    rows = _sized(panel, None, [*PARTITIONS, "vod_id"])
+    if per_vod:
+        _partitioned(rows, [*PARTITIONS, "vod_id"]).parquet(path)
+    else:
+        _partitioned(rows.sortWithinPartitions(*PARTITIONS, "vod_id"), PARTITIONS).parquet(path)
 
 
 def write_gold_parquet(gold: DataFrame, path: str, files: int | None = None) -> None:

@@ -94,7 +94,7 @@ def test_numbering_equals_one_big_sort(spark):
     random.seed(3)
     rows = [(random.choice("ab"), random.randrange(500), i) for i in range(2000)]
     table = spark.createDataFrame(rows, "g string, k int, id int")
-    result = numbered(table, "n", ["g"], F.expr("k div 7"), ["k", "id"], start=0)
+    result = numbered(table, "n", ["g"], [F.expr("k div 70"), F.expr("k div 7"), F.struct("k", F.expr("id div 10"))], ["k", "id"], start=0)
     for group in "ab":
         ordered = sorted((k, i) for g, k, i in rows if g == group)
         got = {(r.k, r.id): r.n for r in result.filter(F.col("g") == group).collect()}

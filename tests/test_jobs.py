@@ -81,6 +81,16 @@ def test_silver_partitions_and_rerun(spark, land, tmp_path):
     assert dict(read_silver(spark, silver).dtypes)["vod_id"] == "string"
 
 
+def test_silver_by_year(spark, land, tmp_path):
+    silver = str(tmp_path / "silver")
+    rows = panel.emote_panel(scanned(spark, land(**FILES)), keep=PARTITIONS)
+    write_silver(rows, silver, per_vod=False)
+    write_silver(rows.filter("year = 2021"), silver, per_vod=False)
+    names = [f.name for f in PANEL]
+    assert tuples(read_silver(spark, silver), *names) == tuples(rows, *names)
+    assert sorted(p.name for p in (tmp_path / "silver" / "channel=chan").iterdir()) == ["year=2020", "year=2021"]
+
+
 def test_gold_job(spark, land, tmp_path):
     silver, gold, csv = (str(tmp_path / name) for name in ("silver", "gold", "csv"))
     write_silver(panel.emote_panel(scanned(spark, land(**FILES)), keep=PARTITIONS), silver)

@@ -2,7 +2,7 @@ import pytest
 from conftest import message, tuples
 from pyspark.sql import functions as F
 
-from chatloom.functions import file_name_parts, parse_years, safe_title
+from chatloom.functions import parse_years, safe_title
 from chatloom.operators import panel
 from chatloom.schemas import CORRUPT
 from chatloom.sources import list_raw_files, read_catalog, read_chat, read_legacy_panel, with_file_metadata
@@ -65,8 +65,7 @@ def test_a_broadcast_may_be_a_folder_of_parts(spark, tmp_path):
     ],
 )
 def test_file_name_parts(spark, path, expected):
-    parts = file_name_parts(F.col("path"))
-    row = spark.createDataFrame([(path,)], "path string").select(*(c.alias(n) for n, c in parts.items())).first()
+    row = with_file_metadata(spark.createDataFrame([(path,)], "path string"), F.col("path")).first()
     assert (row.channel, row.year, row.file_seq, row.vod_id) == expected
     assert (row.file_name is None) == (expected[0] is None)
 

@@ -155,18 +155,19 @@ def badge_text(legacy: DataFrame) -> DataFrame:
     return legacy.withColumn("i_badges", F.coalesce(text, F.lit("None")))
 
 
-def _json_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One JSON array per broadcast and Arrow batch, so an array has a bounded length."""
-    for batch in batches:
-        for source, values in batch.groupby("source", sort=False)["value"]:
-            yield pd.DataFrame({"source": [source], "value": ["[" + ",\n".join(values) + "]"]})
-
-
 def write_chat(chat: DataFrame, path: str) -> None:
     """Land messages as chat files: a folder per broadcast, each part file one JSON array.
 
-    REBALANCE brings a broadcast's messages together and splits a hot one over several tasks.
+    REBALANCE brings a broadcast's messages together and splits a hot one over several tasks;
+    an array holds the messages of one broadcast in one Arrow batch, so its length is bounded.
     """
+
+    # A local function travels to the executors by value; they need not have this package.
+    def json_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, values in batch.groupby("source", sort=False)["value"]:
+                yield pd.DataFrame({"source": [source], "value": ["[" + ",\n".join(values) + "]"]})
+
     number = F.expr(f"cast(vod_id as bigint) div {VOD_STEP}")
     name = F.concat_ws("_", "channel", "year", F.lpad(number.cast("string"), 12, "0"), "vod_id")
     fields = ["author", "emotes", "timestamp", "time_text", "time_in_seconds", "message"]
@@ -176,7 +177,7 @@ def write_chat(chat: DataFrame, path: str) -> None:
     arrays = (
         rows.hint("rebalance", F.col("source"))
         .sortWithinPartitions("source")
-        .mapInPandas(_json_arrays, "source string, value string")
+        .mapInPandas(json_arrays, "source string, value string")
     )
     edges = chat.sparkSession.createDataFrame(EDGE_FILES, "source string, value string")
     (
