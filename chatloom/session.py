@@ -33,16 +33,19 @@ def build_session(app_name: str = "chatloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_base: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder that ``spark.checkpoint.dir`` names.
 
     Only a local session may fall back to a temporary folder: on a cluster executors would not
     see the driver's disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base.get(app)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="chatloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/chatloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+        base = _local_base[app] = tempfile.mkdtemp(prefix="chatloom-")
+    return f"{base.rstrip('/')}/chatloom/{app}/{label}-{uuid.uuid4().hex[:12]}"

@@ -24,18 +24,33 @@ def _read_partitions(
     if wanted == []:
         return spark.createDataFrame([], full)
     try:
-        return spark.read.schema(full).option("basePath", root).parquet(f"{root}/{glob}")
+        stored = spark.read.schema(full).option("basePath", root).parquet(f"{root}/{glob}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], full)
+    return stored.select(*full.names)
 
 
 def read_silver(
-    spark: SparkSession, path: str, channel: str | None = None, years: str | Iterable | None = None
+    spark: SparkSession,
+    path: str,
+    channel: str | None = None,
+    years: str | Iterable | None = None,
+    streamed: bool = False,
 ) -> DataFrame:
-    """Silver panel of the chosen channel and years."""
-    return _read_partitions(spark, path, PANEL, channel, years)
+    """Silver panel of the chosen channel and years.
+
+    ``streamed`` is for a table that :func:`chatloom.streaming.ingest_stream` writes: there the
+    sink's log says which files count, and it is found at the table's root only.
+    """
+    if not streamed:
+        return _read_partitions(spark, path, PANEL, channel, years)
+    full = partitioned(PANEL)
+    rows = spark.read.schema(full).parquet(path).select(*full.names)
+    if channel is not None:
+        rows = rows.filter(F.col("channel") == channel)
+    return rows if years is None else rows.filter(F.col("year").isin(parse_years(years)))
 
 
 def read_gold(

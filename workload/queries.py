@@ -525,7 +525,7 @@ def ingest_chat_stream(spark, sf_dir):
     out = scratch_dir(spark, "stream")
     run = ingest_stream(spark, adapter.landed(spark, sf_dir), out, scratch_dir(spark, "stream-checkpoint"))
     run.awaitTermination()
-    return read_silver(spark, out)
+    return read_silver(spark, out, streamed=True)
 
 
 @query
