@@ -25,18 +25,14 @@ def year_frame(spark: SparkSession, years: str | Iterable[str | int]) -> DataFra
 def size_checked(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Mark ``df`` for broadcast if it is small, leave it to a shuffled join if it is not.
 
-    The check reads at most ``max_rows + 1`` rows and measures the text in them, so it stays
-    cheap on a table of any size.
+    The check is one pass that adds up rows and text lengths inside the tasks. Nothing is moved
+    for it, unlike for a limit, which would send every task's share to a single one.
     """
-    texts = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)]
-    width = F.lit(16 * len(df.columns))
-    for text in texts:
-        width = width + F.coalesce(text, F.lit(0))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)))
-        .first()
-    )
+    width = F.lit(16 * len(df.columns)).cast("bigint")
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 

@@ -168,6 +168,7 @@ oracle(
 # Sinks
 
 oracle("write_silver_twice", PANEL, "SELECT channel, year, vod_id, count(*) AS record_count FROM panel GROUP BY ALL")
+oracle("write_silver_by_year", PANEL, f"SELECT {PANEL_COLUMNS}, channel, year FROM panel")
 oracle(
     "write_gold_as_parquet",
     GOLD,

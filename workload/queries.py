@@ -170,6 +170,13 @@ def write_silver_twice(spark, sf_dir):
     return panel.record_count(read_silver(spark, path), ["channel", "year", "vod_id"])
 
 
+@query
+def write_silver_by_year(spark, sf_dir):
+    path = scratch_dir(spark, "silver")
+    write_silver(panel_of(spark, sf_dir), path, per_vod=False)
+    return read_silver(spark, path)
+
+
 @query
 def write_gold_as_parquet(spark, sf_dir):
     path = scratch_dir(spark, "gold")
