@@ -1,13 +1,15 @@
 from chatloom.sources.catalog import read_catalog
-from chatloom.sources.chat import list_raw_files, read_chat, with_file_metadata
+from chatloom.sources.chat import is_broken, list_raw_files, read_chat, typed_chat, with_file_metadata
 from chatloom.sources.panels import read_gold, read_legacy_panel, read_silver
 
 __all__ = [
+    "is_broken",
     "list_raw_files",
     "read_catalog",
     "read_chat",
     "read_gold",
     "read_legacy_panel",
     "read_silver",
+    "typed_chat",
     "with_file_metadata",
 ]

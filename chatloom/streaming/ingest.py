@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatloom.operators.panel import emote_panel
-from chatloom.schemas import CHAT, PARTITIONS
-from chatloom.sources.chat import with_file_metadata
+from chatloom.schemas import PARTITIONS, RAW_CHAT
+from chatloom.sources.chat import typed_chat, with_file_metadata
 
 
 def ingest_stream(
@@ -15,18 +16,21 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Append the panel rows of chat files not seen before, each file once, then stop.
 
+    Files whose names are not chat files' are passed over.
+
     Stateless: the checkpoint remembers the files and the sink's log makes a batch that ran
     twice count once. A file is read by one task and belongs to one VOD, so writing by VOD
     needs no shuffle.
     """
     chat = (
-        spark.readStream.schema(CHAT)
+        spark.readStream.schema(RAW_CHAT)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(in_path)
     )
-    panel = emote_panel(with_file_metadata(chat), keep=PARTITIONS)
+    named = with_file_metadata(typed_chat(chat)).filter(F.col("file_name").isNotNull())
+    panel = emote_panel(named, keep=PARTITIONS)
     return (
         panel.writeStream.format("parquet")
         .partitionBy(*PARTITIONS, "vod_id")

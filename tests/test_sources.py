@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import parse_years, safe_title
 from chatloom.operators import panel
 from chatloom.schemas import CORRUPT
-from chatloom.sources import list_raw_files, read_catalog, read_chat, read_legacy_panel, with_file_metadata
+from chatloom.sources import is_broken, list_raw_files, read_catalog, read_chat, read_legacy_panel, with_file_metadata
 
 
 def test_reads_whole_file_arrays_of_all_files(spark, land):
@@ -26,9 +26,33 @@ def test_broken_file_gives_one_marked_row(spark, land):
     rows = with_file_metadata(read_chat(spark, raw))
     broken = rows.filter(F.col(CORRUPT).isNotNull())
     assert [r.vod_id for r in broken.collect()] == ["11"]
+    assert tuples(rows.filter(is_broken()), "vod_id") == [("11",)]
     assert panel.emote_panel(rows).count() == 1
 
 
+def test_one_odd_value_is_one_null(spark, land):
+    raw = land(
+        chan_2020_001_11=[message(["a"]), message(["b"], timestamp="abc", time_in_seconds={}), message(["c"])],
+        chan_2020_002_12=[message(["d"], timestamp=1.5e15, time_in_seconds="7"), message(["e"], author={"id": 5})],
+        chan_2020_003_13=[message(["f"]), message("x", author={"badges": "none"})],
+    )
+    chat = with_file_metadata(read_chat(spark, raw))
+    rows = panel.emote_panel(chat).withColumn("micros", F.unix_micros("t_timestamp"))
+    plain = 1_600_000_000_123_456
+    assert tuples(rows, "k_emote_name", "i_user_id", "micros", "t_seconds") == [
+        ("a", 1, plain, 10), ("b", 1, None, None), ("c", 1, plain, 10),
+        ("d", 1, 1_500_000_000_000_000, 7), ("e", 5, plain, 10), ("f", 1, plain, 10), ("x", 1, plain, 10),
+    ]
+    assert chat.filter(is_broken()).count() == 0
+
+
+def test_a_single_object_is_one_message_and_a_list_of_other_things_is_broken(spark, land):
+    raw = land(chan_2020_001_11=message(["a"]), chan_2020_002_12=[message(["b"]), "junk"])
+    chat = with_file_metadata(read_chat(spark, raw))
+    assert tuples(chat.filter(is_broken()), "vod_id") == [("12",)]
+    assert tuples(panel.emote_panel(chat), "vod_id") == [("11",)]
+
+
 def test_listing_sees_files_that_hold_nothing(spark, land):
     raw = land(esl_dota2_2020_033_123="[]", esl_dota2_2020_34=[message()], notes="[]")
     assert read_chat(spark, raw).filter(F.col("message").isNotNull()).count() == 1

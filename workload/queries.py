@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from chatloom.functions import micros_to_timestamp, safe_title, user_status_placeholder, year_frame
 from chatloom.operators import audit, badges, catalog, gold, legacy, panel, users
 from chatloom.plans import badge_report, build_gold, build_silver
-from chatloom.schemas import BADGE_COLUMNS, CORRUPT, PARTITIONS
+from chatloom.schemas import BADGE_COLUMNS, PARTITIONS
 from chatloom.session import configure, scratch_dir
 from chatloom.sinks import (
     inspect,
@@ -23,6 +23,7 @@ from chatloom.sinks import (
     write_silver,
 )
 from chatloom.sources import (
+    is_broken,
     list_raw_files,
     read_catalog,
     read_chat,
@@ -111,7 +112,7 @@ def read_chat_files(spark, sf_dir):
         F.col("author.badges.name").alias("badge_names"),
         F.col("emotes.name").alias("emote_names"),
         "timestamp", "time_text", "time_in_seconds", "message",
-        F.col(CORRUPT).isNotNull().cast("int").alias("broken"),
+        is_broken().cast("int").alias("broken"),
     )
 
 
