@@ -29,11 +29,6 @@ CHAT = _struct(
     message=TEXT,
 )
 
-# As parsed: numbers are taken as text, so that one odd value is one NULL and not a broken file.
-RAW_CHAT = T.StructType(
-    [T.StructField(f.name, TEXT if f.name in ("timestamp", "time_in_seconds") else f.dataType) for f in CHAT]
-)
-
 VOD = _struct(id=LONG, title=TEXT, created_at=TIME, duration=TEXT, url=TEXT)
 
 PANEL = _struct(

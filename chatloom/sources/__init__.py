@@ -1,5 +1,5 @@
 from chatloom.sources.catalog import read_catalog
-from chatloom.sources.chat import is_broken, list_raw_files, read_chat, typed_chat, with_file_metadata
+from chatloom.sources.chat import is_broken, list_raw_files, read_chat, with_file_metadata
 from chatloom.sources.panels import read_gold, read_legacy_panel, read_silver
 
 __all__ = [
@@ -10,6 +10,5 @@ __all__ = [
     "read_gold",
     "read_legacy_panel",
     "read_silver",
-    "typed_chat",
     "with_file_metadata",
 ]

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatloom.operators.panel import emote_panel
-from chatloom.schemas import PARTITIONS, RAW_CHAT
-from chatloom.sources.chat import typed_chat, with_file_metadata
+from chatloom.schemas import CHAT, PARTITIONS
+from chatloom.sources.chat import with_file_metadata
 
 
 def ingest_stream(
@@ -23,13 +23,13 @@ def ingest_stream(
     needs no shuffle.
     """
     chat = (
-        spark.readStream.schema(RAW_CHAT)
+        spark.readStream.schema(CHAT)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(in_path)
     )
-    named = with_file_metadata(typed_chat(chat)).filter(F.col("file_name").isNotNull())
+    named = with_file_metadata(chat).filter(F.col("file_name").isNotNull())
     panel = emote_panel(named, keep=PARTITIONS)
     return (
         panel.writeStream.format("parquet")
