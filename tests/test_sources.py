@@ -54,12 +54,12 @@ def test_a_single_object_is_one_message_and_a_list_of_other_things_is_broken(spa
 
 
 def test_listing_sees_files_that_hold_nothing(spark, land):
-    raw = land(esl_dota2_2020_033_123="[]", esl_dota2_2020_34=[message()], notes="[]")
+    raw = land(big_games2_2020_033_123="[]", big_games2_2020_34=[message()], notes="[]")
     assert read_chat(spark, raw).filter(F.col("message").isNotNull()).count() == 1
     files = tuples(list_raw_files(spark, raw), "file_name", "channel", "year", "file_seq", "vod_id", "parts")
     assert files == [
-        ("esl_dota2_2020_033_123.json", "esl_dota2", 2020, 33, "123", 1),
-        ("esl_dota2_2020_34.json", "esl_dota2", 2020, 34, None, 1),
+        ("big_games2_2020_033_123.json", "big_games2", 2020, 33, "123", 1),
+        ("big_games2_2020_34.json", "big_games2", 2020, 34, None, 1),
     ]
 
 
@@ -79,8 +79,8 @@ def test_a_broadcast_may_be_a_folder_of_parts(spark, tmp_path):
 @pytest.mark.parametrize(
     "path, expected",
     [
-        ("s3://b/c/esl_dota2_2020_033_123.json", ("esl_dota2", 2020, 33, "123")),
-        ("esl_dota2_2020_33.json", ("esl_dota2", 2020, 33, None)),
+        ("s3://b/c/big_games2_2020_033_123.json", ("big_games2", 2020, 33, "123")),
+        ("big_games2_2020_33.json", ("big_games2", 2020, 33, None)),
         ("/x/one_two_three_2013_1000_9000000000.json", ("one_two_three", 2013, 1000, "9000000000")),
         ("/x/chan_1234_2020_033_5.json", ("chan_1234", 2020, 33, "5")),
         ("/x/source=chan_2020_001_7.json/part-1.txt", ("chan", 2020, 1, "7")),
