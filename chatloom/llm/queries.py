@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import bpe, packing, token_counts, token_files
+from chatloom.llm import bpe, language, neighbours, packing, quality, token_counts, token_files, warc
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -24,18 +24,41 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_FILE))
 
 
+def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_FILE))
 
 
+def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.store_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_FILE))
 
 
+def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_counts": op1_token_counts,
-    "op2_best_fit_packing": op2_best_fit_packing,
-    "op7_bpe_round_trip": op7_bpe_round_trip,
-    "op9_token_files": op9_token_files,
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_best_fit_packing,
+        op3_language_codes,
+        op4_warc_chunks,
+        op7_bpe_round_trip,
+        op8_quality_votes,
+        op9_token_files,
+        op10_projected_neighbours,
+    )
 }
 LLM_ORACLES: dict[str, str] = {}
