@@ -107,7 +107,7 @@ def votes(q: Column) -> dict[str, Column]:
         "repeats": against(100 * q["n_repeat_words"] > 20 * n),
         "word_length": against((n >= 30) & ((2 * chars < 5 * n) | (10 * chars > 74 * n))),
         "dup_lines": against((q["n_dup_lines"] > 2) & (10 * q["n_dup_lines"] > 4 * q["n_lines"])),
-        "letters": against(100 * letters < 75 * chars),
+        "letters": against((n >= 20) & (100 * letters < 68 * chars)),
         "variety": against((n >= 30) & (n < 2000) & (100 * q["n_kinds"] < 25 * n)),
         "capitals": against(100 * q["n_capitals"] > 40 * letters),
         "shouting": against(100 * q["n_shouts"] > 40 * n),
