@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import bpe, jaccard, language, neighbours, packing, quality, token_counts, token_files, warc
+from chatloom.llm import bpe, jaccard, language, mixing, neighbours, packing, quality, token_counts, token_files, warc
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -32,6 +32,10 @@ def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_groups(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_best_fit_packing,
         op3_language_codes,
         op4_warc_chunks,
+        op5_context_mixing,
         op6_signature_trees,
         op7_bpe_round_trip,
         op8_quality_votes,

@@ -66,6 +66,15 @@ def _hashes(data: bytes) -> np.ndarray:
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_prefixes(codes: np.ndarray) -> np.ndarray:
+    """For every place in an array of bytes a hash of what stands between the last blank and it."""
+    up, down = _powers.upto(len(codes))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_CODES[codes] * up[: len(codes)])])
+    places = np.arange(len(codes))
+    starts = np.maximum.accumulate(np.concatenate([[0], np.where(IS_BLANK[codes[:-1]], places[1:], 0)]))
+    return mix((sums[:-1] - sums[starts]) * down[starts])
+
+
 def word_hashes(text: str | bytes) -> np.ndarray:
     """A hash of every word, in order; words differ in more than the case of A to Z."""
     data = (text.encode() if isinstance(text, str) else text).lower()
