@@ -51,6 +51,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
+def wide_signature(shingles: np.ndarray) -> np.ndarray:
+    """A bitmap of at least four bits for each shingle, its length a power of two, at least 512."""
+    width = max(SIG_BITS, 1 << (4 * len(shingles) - 1).bit_length())
+    bits = np.zeros(width, np.uint8)
+    bits[shingles & np.uint64(width - 1)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(wide: np.ndarray, words: int) -> np.ndarray:
+    """The same bitmap with fewer words: bits that agree modulo the shorter length fall together."""
+    return np.bitwise_or.reduce(wide.reshape(-1, words), axis=0)
+
+
 def class_of(shingles: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
@@ -159,7 +172,7 @@ def prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Rows (class, shingles) of the classes that a bitmap names, and of few others."""
+    """Rows (class, wide, shingles) of the classes that a bitmap names, and of few others."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def make(sets):
@@ -171,16 +184,20 @@ def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             name = class_of(shingles)
             if name not in seen and in_bitmap(shared.value, np.array([name], np.int64))[0]:
                 seen.add(name)
-                rows.append((name, shingles.tobytes()))
+                sized = np.concatenate([[np.uint64(len(shingles))], wide_signature(shingles)])
+                rows.append((name, sized.tobytes(), shingles.tobytes()))
                 size += len(shingles)
                 if size > 1_000_000:
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary()))], ["class", "shingles"])
+                    yield batch_of(rows)
                     rows, size = [], 0
         if rows:
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary()))], ["class", "shingles"])
+            yield batch_of(rows)
+
+    def batch_of(rows):
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["class", "wide", "shingles"])
 
-    found = _pass(docs, "class bigint, shingles binary", make)
-    return found.groupBy("class").agg(F.first("shingles").alias("shingles"))
+    return _pass(docs, "class bigint, wide binary, shingles binary", make)
 
 
 # --- signature trees ------------------------------------------------------------------------------
@@ -312,29 +329,51 @@ def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-    """The stored pairs that are similar, by their whole shingle sets."""
-    spark = docs.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    path = scratch_dir(spark, f"sets-{label}")
-    sets_of(docs, bitmap(ends, "class")).write.parquet(path)
-    sets = spark.read.parquet(path)
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b"
-    )
+def _paired(pairs: DataFrame, values: DataFrame, column: str, test: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The pairs (a, b) whose values of a binary column pass a test."""
+    x = values.select(F.col("class").alias("a"), F.col(column).alias("x"))
+    y = values.select(F.col("class").alias("b"), F.col(column).alias("y"))
+    both = pairs.join(x, "a").join(y, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fits = []
-            for x, y in zip(batch["x"], batch["y"]):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                fits.append(bool(similar(common, len(x), len(y))))
+            fits = [
+                test(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
+                for x, y in zip(batch["x"], batch["y"])
+            ]
             yield pa.record_batch([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    out = scratch_dir(spark, f"links-{label}")
-    both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").write.parquet(out)
-    return spark.read.parquet(out)
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+def _wide_test(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether wide bitmaps, each behind its set's size, let the sets be similar."""
+    (n_x, x), (n_y, y) = (int(x[0]), x[1:]), (int(y[0]), y[1:])
+    words = min(len(x), len(y))
+    x, y = folded(x, words), folded(y, words)
+    most = int(popcount(x & y)) + min(n_x - int(popcount(x)), n_y - int(popcount(y)))
+    return bool(similar(min(most, n_x, n_y), n_x, n_y))
+
+
+def _whole_test(x: np.ndarray, y: np.ndarray) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    return bool(similar(int((both[1:] == both[:-1]).sum()), len(x), len(y)))
+
+
+def verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """The stored pairs that are similar. Bitmaps in proportion to the sets leave few pairs that are
+    not; for the rest the whole sets meet."""
+    spark = docs.sparkSession
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    path = scratch_dir(spark, f"sets-{label}")
+    sets_of(docs, bitmap(ends, "class")).dropDuplicates(["class"]).write.parquet(path)
+    sets = spark.read.parquet(path)
+    path = scratch_dir(spark, f"close-{label}")
+    _paired(pairs, sets, "wide", _wide_test).write.parquet(path)
+    close = spark.read.parquet(path)
+    path = scratch_dir(spark, f"links-{label}")
+    _paired(close, sets, "shingles", _whole_test).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -377,7 +416,7 @@ def link_groups(docs: DataFrame, common_from: int = 32, id_col: str = "doc_id",
     often = repeats.groupBy("repeated").agg(F.sum("times").alias("times")).filter(F.col("times") >= common_from)
 
     rows = prefixes(texts, bitmap(often, "repeated"))
-    blocks = rows.groupBy("shingle").agg(F.min("class").alias("pivot"), F.max("class").alias("other"), F.count(F.lit(1)).alias("size"))
+    blocks = rows.groupBy("shingle").agg(F.min("class").alias("pivot"), F.max("class").alias("other"))
     path = scratch_dir(spark, "blocks")
     rows.join(blocks.filter("pivot < other").drop("other"), "shingle").write.parquet(path)
     met = spark.read.parquet(path)
@@ -388,10 +427,13 @@ def link_groups(docs: DataFrame, common_from: int = 32, id_col: str = "doc_id",
     labels = components(links)
 
     known = classes.join(labels, "class", "left").select("class", "n", "sig", F.coalesce("component", "class").alias("component"))
-    placed = met.select("shingle", "size", "class").distinct().join(known, "class")
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    placed = met.select("shingle", "class").distinct().join(known.select("class", "component"), "class")
+    mixed = placed.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+    )
     path = scratch_dir(spark, "pairs")
-    tree_pairs(placed.join(mixed.select("shingle"), "shingle")).write.parquet(path)
+    crossing = placed.join(mixed.filter("low < high").select("shingle", "size"), "shingle")
+    tree_pairs(crossing.join(known.select("class", "n", "sig"), "class")).write.parquet(path)
     pairs = spark.read.parquet(path)
     if not pairs.isEmpty():
         labels = components(links.union(verified(texts, pairs, "pairs")))

@@ -56,8 +56,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _hashes(data: bytes) -> np.ndarray:
     codes = np.frombuffer(data, np.uint8)
-    solid = ~IS_BLANK[codes]
-    edge = np.flatnonzero(np.diff(solid, prepend=False, append=False))
+    blank = np.ones(len(codes) + 2, bool)
+    blank[1:-1] = IS_BLANK[codes]
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
@@ -90,5 +91,7 @@ def shingle_set(text: str | bytes, width: int = 5) -> np.ndarray:
     width = min(width, len(words))
     windows = words[: len(words) - width + 1].copy()
     for k in range(1, width):
-        windows = mix(windows) + words[k : len(words) - width + 1 + k]
-    return np.unique(mix(windows + np.uint64(width)))
+        windows *= np.uint64(FACTOR)
+        windows += words[k : len(words) - width + 1 + k]
+    windows = np.sort(mix(windows + np.uint64(width)))
+    return windows[np.concatenate([[True], windows[1:] != windows[:-1]])]
