@@ -105,7 +105,7 @@ def _pass(docs: DataFrame, schema: str, make: Callable[[Iterator[tuple[int, np.n
     return docs.mapInArrow(run, schema)
 
 
-def classes_of(docs: DataFrame, often: int = 4, block: int = 4_000_000) -> DataFrame:
+def classes_of(docs: DataFrame, often: int = 2, block: int = 3_000_000) -> DataFrame:
     """doc_id, n, class and signature of every document; besides, rows with the shingles that ``often``
     or more different sets of a block of about ``block`` shingles share (columns repeated, times)."""
 
@@ -114,8 +114,10 @@ def classes_of(docs: DataFrame, often: int = 4, block: int = 4_000_000) -> DataF
 
         def flush():
             ids, ns, classes, sigs = zip(*docs) if docs else ((),) * 4
-            shingles, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-            hot = times >= often
+            everything = np.sort(np.concatenate([np.zeros(0, np.uint64), *held]))
+            starts = np.flatnonzero(np.concatenate([[True], everything[1:] != everything[:-1]])[: len(everything)])
+            times = np.diff(np.append(starts, len(everything)))
+            shingles, hot = everything[starts], times >= often
             extra = [None] * len(ids)
             yield pa.record_batch(
                 [pa.array([*ids, None], pa.int64()), pa.array([*ns, None], pa.int64()), pa.array([*classes, None], pa.int64()),
@@ -398,7 +400,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link_groups(docs: DataFrame, common_from: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_groups(docs: DataFrame, common_from: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
     Null and empty texts have no shingles and are linked with nothing: their component is their own id.

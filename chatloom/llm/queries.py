@@ -13,6 +13,8 @@ WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of whole texts: they go to workers in small batches, as one row can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
