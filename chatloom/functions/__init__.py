@@ -8,7 +8,7 @@ from chatloom.functions.columns import (
     safe_title,
     user_status_placeholder,
 )
-from chatloom.functions.frames import numbered, parse_years, size_checked, year_frame
+from chatloom.functions.frames import numbered, parse_years, year_frame
 
 __all__ = [
     "badge_count",
@@ -20,7 +20,6 @@ __all__ = [
     "parse_years",
     "percentage",
     "safe_title",
-    "size_checked",
     "user_status_placeholder",
     "year_frame",
 ]

@@ -1,4 +1,4 @@
-"""Helpers on whole DataFrames: checked broadcasts, numbering without one big window, years."""
+"""Helpers on whole DataFrames: numbering without one big window, years."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def parse_years(years: str | int | Iterable[str | int]) -> list[int]:
@@ -22,20 +21,6 @@ def year_frame(spark: SparkSession, years: str | Iterable[str | int]) -> DataFra
     return spark.createDataFrame(rows, "year int")
 
 
-def size_checked(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Mark ``df`` for broadcast if it is small, leave it to a shuffled join if it is not.
-
-    The check is one pass that adds up rows and text lengths inside the tasks. Nothing is moved
-    for it, unlike for a limit, which would send every task's share to a single one.
-    """
-    width = F.lit(16 * len(df.columns)).cast("bigint")
-    for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
-
-
 def numbered(
     df: DataFrame,
     name: str,

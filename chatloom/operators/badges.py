@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from chatloom.functions.columns import badge_count
 
 USER = "i_user_name"
-# A subquery of at most this many users is a bounded broadcast side.
-BROADCAST_USERS = 100_000
 
 
 def with_badge_count(panel: DataFrame, missing: int = -1) -> DataFrame:
@@ -45,8 +43,7 @@ def distinct_users(panel: DataFrame) -> DataFrame:
 def _some_users_without_badges(counted: DataFrame, users: int) -> DataFrame:
     """The first ``users`` names, in name order, with a row that has no badge list."""
     bare = distinct_users(counted.filter(F.col("badges_count") == -1))
-    chosen = bare.orderBy(F.col(USER).asc_nulls_last()).limit(users)
-    return F.broadcast(chosen) if users <= BROADCAST_USERS else chosen
+    return bare.orderBy(F.col(USER).asc_nulls_last()).limit(users)
 
 
 def _most_badges(counted: DataFrame, k: int) -> DataFrame:

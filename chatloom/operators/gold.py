@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.columns import percentage
-from chatloom.functions.frames import size_checked
 from chatloom.operators.panel import drop_key, rename_title
 
 
 def attach_titles(panel: DataFrame, vods: DataFrame) -> DataFrame:
     """Add ``match_title`` to every panel row, NULL where the catalogue has no such VOD.
 
-    Ids are compared as text, so an odd ``vod_id`` matches nothing instead of failing. A
-    catalogue that passes the size check is broadcast and the panel is not moved; a larger one
-    is joined by shuffle, where adaptive execution splits a hot VOD.
+    Ids are compared as text, so an odd ``vod_id`` matches nothing instead of failing. Whether
+    the catalogue is broadcast is left to the session's threshold and the sizes that Spark knows;
+    a larger one is joined by shuffle, where adaptive execution splits a hot VOD.
     """
-    titles = size_checked(vods.select(F.col("id").cast("string").alias("id"), "title"))
+    titles = vods.select(F.col("id").cast("string").alias("id"), "title")
     joined = panel.join(titles, panel["vod_id"] == titles["id"], "left")
     return rename_title(drop_key(joined))
 

@@ -50,7 +50,7 @@ def emote_panel(chat: DataFrame, channel: str | None = None, keep: Sequence[str]
         F.col("emote.name").alias("k_emote_name"),
         micros_to_timestamp(F.col("timestamp")).alias("t_timestamp"),
         F.col("time_text").alias("t_time_text"),
-        F.col("time_in_seconds").cast("bigint").alias("t_seconds"),
+        F.col("time_in_seconds").try_cast("bigint").alias("t_seconds"),
         F.col("vod_id"),
         F.col("message").alias("chat_message"),
         *keep,

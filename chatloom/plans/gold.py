@@ -25,11 +25,13 @@ def build_gold(
 ) -> DataFrame:
     """Write one channel's gold table, as CSV too if asked for; give back the report.
 
-    The join runs once: CSV and report are made from the Parquet table just written.
+    The join runs once: CSV and report are made from the Parquet table just written. A year without
+    silver rows counts as empty, also where an older run has left gold rows of it.
     """
     silver = normalize_panel(read_silver(spark, silver_path, channel, years))
     write_gold_parquet(attach_titles(silver, vods), gold_path, files)
-    gold = read_gold(spark, gold_path, channel, years)
+    present = silver.select("year").distinct()
+    gold = read_gold(spark, gold_path, channel, years).join(present, "year", "left_semi")
     if csv_path is not None:
         write_gold_csv(gold, csv_path, files)
     return gold_report(gold, year_frame(spark, years))

@@ -38,13 +38,21 @@ def _partitioned(df: DataFrame, keys: list[str]):
 def write_silver(panel: DataFrame, path: str, per_vod: bool = True) -> None:
     """Silver panel; a rerun replaces the folders it has rows for and no other.
 
-    With ``per_vod`` a folder is one VOD, so that a single VOD can be replaced. Without, it is a
-    channel's year with the rows in VOD order: the form for loading whole years, as committing
-    and listing do not grow with the number of VODs.
+    With ``per_vod`` a folder is one VOD, so that a single VOD can be replaced. Rows without VOD id
+    get a folder for each ``file_name``, if the panel has that column: it goes into the folders
+    and not into the table. Without ``per_vod``, a folder is a channel's year with the rows in VOD
+    order: the form for loading whole years, as committing and listing do not grow with the number
+    of VODs.
     """
-    rows = _sized(panel, None, [*PARTITIONS, "vod_id"])
+    unit = [*PARTITIONS, "vod_id"]
+    if "file_name" in panel.columns:
+        if per_vod:
+            named = F.when(F.col("vod_id").isNull(), F.col("file_name")).otherwise(F.lit("-"))
+            panel, unit = panel.withColumn("source_file", named), [*unit, "source_file"]
+        panel = panel.drop("file_name")
+    rows = _sized(panel, None, unit)
     if per_vod:
-        _partitioned(rows, [*PARTITIONS, "vod_id"]).parquet(path)
+        _partitioned(rows, unit).parquet(path)
     else:
         _partitioned(rows.sortWithinPartitions(*PARTITIONS, "vod_id"), PARTITIONS).parquet(path)
 

@@ -10,7 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom.functions.frames import parse_years
-from chatloom.schemas import GOLD, LEGACY, LEGACY_FLAT, PANEL, partitioned
+from chatloom.schemas import GOLD, LEGACY, LEGACY_FLAT, PANEL, RENAMED, partitioned
+
+
+def _with_old_names(schema: T.StructType) -> T.StructType:
+    """The schema with the names that earlier revisions gave its columns beside it."""
+    kinds = {field.name: field.dataType for field in schema}
+    return T.StructType([*schema, *(T.StructField(old, kinds[new]) for old, new in RENAMED.items() if new in kinds)])
+
+
+def _renamed(stored: DataFrame, schema: T.StructType) -> DataFrame:
+    """Files of any revision under the current names: a file has a column under one of its names."""
+    old = {new: name for name, new in RENAMED.items()}
+    return stored.select(
+        *(F.coalesce(n, old[n]).alias(n) if n in old and old[n] in stored.columns else F.col(n) for n in schema.names)
+    )
 
 
 def _read_partitions(
@@ -21,15 +35,16 @@ def _read_partitions(
     glob = f"channel={channel or '*'}/year=" + ("*" if wanted is None else "{%s}" % ",".join(map(str, wanted)))
     root = path.rstrip("/")
     full = partitioned(schema)
+    asked = _with_old_names(full)
     if wanted == []:
         return spark.createDataFrame([], full)
     try:
-        stored = spark.read.schema(full).option("basePath", root).parquet(f"{root}/{glob}")
+        stored = spark.read.schema(asked).option("basePath", root).parquet(f"{root}/{glob}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], full)
-    return stored.select(*full.names)
+    return _renamed(stored, full)
 
 
 def read_silver(
@@ -47,7 +62,7 @@ def read_silver(
     if not streamed:
         return _read_partitions(spark, path, PANEL, channel, years)
     full = partitioned(PANEL)
-    rows = spark.read.schema(full).parquet(path).select(*full.names)
+    rows = _renamed(spark.read.schema(_with_old_names(full)).parquet(path), full)
     if channel is not None:
         rows = rows.filter(F.col("channel") == channel)
     return rows if years is None else rows.filter(F.col("year").isin(parse_years(years)))

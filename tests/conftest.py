@@ -11,13 +11,14 @@ from chatloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         **{
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
         },

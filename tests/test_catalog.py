@@ -4,7 +4,7 @@ import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from chatloom.functions import numbered, size_checked, year_frame
+from chatloom.functions import numbered, year_frame
 from chatloom.operators import catalog, gold
 from chatloom.schemas import VOD
 
@@ -43,13 +43,13 @@ def test_unique_catalogue_keeps_the_row_count_and_doubled_ids_multiply(rows, vod
     assert gold.attach_titles(rows, vods.union(vods.filter("id = 1"))).count() == rows.count() + 2
 
 
-def test_a_catalogue_beyond_the_bound_is_not_broadcast(spark, vods):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(size_checked(vods))
-    assert not hinted(size_checked(vods, max_rows=3))
-    assert not hinted(size_checked(vods, max_bytes=100))
+def test_building_a_title_join_runs_no_job_and_forces_no_broadcast(spark, rows, vods):
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    joined = gold.attach_titles(rows, vods)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
 
 
 def test_records_per_title(rows, vods):
@@ -106,7 +106,7 @@ def files(spark):
     return spark.createDataFrame(
         [("c_2020_10_1.json", "c", 2020, 10, "1"), ("c_2020_2_3.json", "c", 2020, 2, "3"),
          ("c_2020_2500_4.json", "c", 2020, 2500, None), ("d_2020_7_9.json", "d", 2020, 7, "9")],
-        "file_name string, channel string, year int, file_seq int, vod_id string",
+        "file_name string, channel string, year int, file_seq bigint, vod_id string",
     )
 
 

@@ -116,6 +116,45 @@ def test_mixed_revisions_in_one_silver_table(spark, tmp_path):
     assert tuples(panel.normalize_panel(merged), "i_user_id", "i_user_name") == [(1, "a"), (2, "b")]
 
 
+def test_readers_map_old_column_names(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for year, columns in ((2020, "i_user_name string, chat_message string"), (2021, "i_username string, message string")):
+        rows = spark.createDataFrame([("ann", f"hi {year}")], columns)
+        rows.withColumns({"channel": F.lit("chan"), "year": F.lit(year)}).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    want = [("ann", "hi 2020", 2020), ("ann", "hi 2021", 2021)]
+    for read in (read_silver, read_gold):
+        assert tuples(read(spark, path), "i_user_name", "chat_message", "year") == want
+
+
+def test_old_files_without_vod_id_are_kept_and_replaced_one_by_one(spark, land, tmp_path):
+    raw = land(chan_2020_001=[message(["a"])], chan_2020_002=[message(["b"])])
+    build_silver(spark, raw, str(tmp_path / "staged"), str(tmp_path / "silver"), "2020")
+    assert tuples(read_silver(spark, str(tmp_path / "silver")), "k_emote_name", "vod_id") == [("a", None), ("b", None)]
+    fresh = tmp_path / "fresh"
+    fresh.mkdir()
+    (fresh / "chan_2020_002.json").write_text(json.dumps([message(["c"])]))
+    build_silver(spark, str(fresh), str(tmp_path / "staged"), str(tmp_path / "silver"), "2020")
+    assert tuples(read_silver(spark, str(tmp_path / "silver")), "k_emote_name") == [("a",), ("c",)]
+
+
+def test_no_single_value_or_name_stops_the_silver_job(spark, land, tmp_path):
+    raw = land(chan_2020_2493025305='[{"time_in_seconds": NaN, "emotes": [{"name": "x"}]}]', chan_2020_003_9=[message(["y"])])
+    report, _ = build_silver(spark, raw, str(tmp_path / "staged"), str(tmp_path / "silver"), "2020")
+    again, _ = build_silver(spark, raw, str(tmp_path / "staged"), str(tmp_path / "other"), "2021")
+    assert report.first()["total_files"] == 2 and again.first()["total_files"] == 0
+    assert tuples(read_silver(spark, str(tmp_path / "silver")), "k_emote_name") == [("x",), ("y",)]
+
+
+def test_gold_report_leaves_out_rows_of_older_runs(spark, chat, tmp_path):
+    rows = panel.emote_panel(chat(message(["a"])), keep=PARTITIONS)
+    vods = spark.createDataFrame([(1, "t")], "id long, title string")
+    gold = str(tmp_path / "gold")
+    write_gold_parquet(rows.withColumn("match_title", F.lit("old")), gold)
+    write_silver(rows.withColumn("year", F.lit(2021)), str(tmp_path / "silver"))
+    report = build_gold(spark, str(tmp_path / "silver"), vods, gold, "chan", "2020,2021")
+    assert [(r[0], r[1]) for r in report.collect()] == [(2020, 0), (2021, 1)]
+
+
 def test_csv_keeps_microseconds(spark, chat, tmp_path):
     path = str(tmp_path / "legacy")
     write_legacy_csv(panel.legacy_panel(chat(message(badges=["x"])), "chan"), path)

@@ -81,7 +81,7 @@ FILES = (
 table_file AS (
   SELECT channel || '_' || year || '_' || lpad(CAST(vod // 21 AS VARCHAR), 12, '0') || '_' || vod_id || '.json'
       AS file_name,
-    channel, year, CAST(vod // 21 AS INTEGER) AS file_seq, vod_id,
+    channel, year, CAST(vod // 21 AS BIGINT) AS file_seq, vod_id,
     count(*) AS message_rows, coalesce(sum(emotes), 0) AS emote_rows,
     coalesce(sum(emotes) FILTER (author_id IS NULL OR author_name IS NULL), 0) AS missing_user_rows,
     count(*) AS scanned_rows
@@ -95,7 +95,7 @@ edge_file AS (
   AS edge(file_name, channel, year, file_seq, vod_id, message_rows, emote_rows, missing_user_rows,
           scanned_rows, status)),
 file AS (
-  SELECT file_name, channel, CAST(year AS INTEGER) AS year, file_seq, vod_id,
+  SELECT file_name, channel, CAST(year AS INTEGER) AS year, CAST(file_seq AS BIGINT) AS file_seq, vod_id,
     CAST(message_rows AS BIGINT) AS message_rows, CAST(emote_rows AS BIGINT) AS emote_rows,
     CAST(missing_user_rows AS BIGINT) AS missing_user_rows, CAST(scanned_rows AS BIGINT) AS scanned_rows, status
   FROM (SELECT *, CASE WHEN emote_rows > 0 THEN 'processed' ELSE 'no_emote' END AS status FROM table_file
