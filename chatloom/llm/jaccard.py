@@ -5,9 +5,11 @@ a shingle in common among the first quarter of both sets (the prefix), in any or
 the same for all; shingles that repeat often are put last in that order, so passages shared by many texts
 rarely lead to candidates. Classes meet in blocks of one prefix shingle.
 
-1. In each block every class is paired with one pivot. Verified pairs already connect most groups of
-   copies, with as many pairs as members, not as many as pairs of members.
-2. In blocks that still hold classes of more than one component, a signature tree is built: its nodes
+1. In each block every class has one pivot; it is paired with the few pivots that it meets in most blocks.
+   Verified pairs already connect most groups of copies, with as many pairs as members, not as many as
+   pairs of members.
+2. In blocks that still hold classes of more than one component, a signature tree is built. A shared
+   passage gives many blocks with the same classes; only one of those is taken. The tree's nodes
    hold the OR of the members' bitmaps, the range of set sizes, and whether all belong to one component.
    Two trees (or one with itself) are traversed together; pairs of nodes are dropped if they are of one
    component, if their sizes are too far apart, or if the most that their bitmaps let them have in common
@@ -23,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import id_and_text
@@ -400,7 +402,32 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link_groups(docs: DataFrame, common_from: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def star_pairs(met: DataFrame, pivots: int) -> DataFrame:
+    """Pairs (a, b) of a pivot and a class: for each class the ``pivots`` that it meets in most blocks.
+
+    The others are not lost: what they would link is still in blocks of several components, for the trees."""
+    pairs = met.filter("class != pivot").groupBy("pivot", "class").agg(F.count(F.lit(1)).alias("blocks"))
+    order = Window.partitionBy("class").orderBy(F.desc("blocks"), "pivot")
+    return pairs.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= pivots).select(
+        F.col("pivot").alias("a"), F.col("class").alias("b")
+    )
+
+
+def mixed_blocks(placed: DataFrame) -> DataFrame:
+    """shingle and size of the blocks with more than one component, one for each different set of classes.
+
+    ``placed`` has distinct rows (shingle, class, component). Sets are told apart by two 64-bit hashes
+    over all classes, besides size and components, so that nothing is collected."""
+    of_class = lambda seed: F.bit_xor(F.xxhash64("class", F.lit(seed)))
+    blocks = placed.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
+        of_class(1).alias("one"), of_class(2).alias("two"),
+    )
+    same = blocks.filter("low < high").groupBy("size", "low", "high", "one", "two")
+    return same.agg(F.min("shingle").alias("shingle")).select("shingle", "size")
+
+
+def link_groups(docs: DataFrame, common_from: int = 6, pivots: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
     Null and empty texts have no shingles and are linked with nothing: their component is their own id.
@@ -417,24 +444,22 @@ def link_groups(docs: DataFrame, common_from: int = 6, id_col: str = "doc_id", t
     repeats = stored.filter("repeated is not null").select(F.inline(F.arrays_zip("repeated", "times")))
     often = repeats.groupBy("repeated").agg(F.sum("times").alias("times")).filter(F.col("times") >= common_from)
 
-    rows = prefixes(texts, bitmap(often, "repeated"))
+    path = scratch_dir(spark, "prefixes")
+    prefixes(texts, bitmap(often, "repeated")).write.parquet(path)
+    rows = spark.read.parquet(path)
     blocks = rows.groupBy("shingle").agg(F.min("class").alias("pivot"), F.max("class").alias("other"))
     path = scratch_dir(spark, "blocks")
     rows.join(blocks.filter("pivot < other").drop("other"), "shingle").write.parquet(path)
     met = spark.read.parquet(path)
-    stars = met.filter("class != pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
     path = scratch_dir(spark, "stars")
-    promising(stars, classes).write.parquet(path)
+    promising(star_pairs(met, pivots), classes).write.parquet(path)
     links = verified(texts, spark.read.parquet(path), "stars")
     labels = components(links)
 
     known = classes.join(labels, "class", "left").select("class", "n", "sig", F.coalesce("component", "class").alias("component"))
     placed = met.select("shingle", "class").distinct().join(known.select("class", "component"), "class")
-    mixed = placed.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
-    )
     path = scratch_dir(spark, "pairs")
-    crossing = placed.join(mixed.filter("low < high").select("shingle", "size"), "shingle")
+    crossing = placed.join(mixed_blocks(placed), "shingle")
     tree_pairs(crossing.join(known.select("class", "n", "sig"), "class")).write.parquet(path)
     pairs = spark.read.parquet(path)
     if not pairs.isEmpty():
