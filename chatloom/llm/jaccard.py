@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import id_and_text
@@ -176,17 +176,20 @@ def prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Rows (class, wide, shingles) of the classes that a bitmap names, and of few others."""
+    """Rows (class, copy, wide, shingles) of the documents whose id a bitmap names, and of few others.
+
+    Rows of equal class may come more than once; ``copy`` tells them apart once the rows are stored."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
-    def make(sets):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         rows, size = [], 0
-        for _, shingles in sets:
-            if not len(shingles):
-                continue
-            name = class_of(shingles)
-            if name not in seen and in_bitmap(shared.value, np.array([name], np.int64))[0]:
+        for batch in batches:
+            texts = batch["text"].filter(pa.array(in_bitmap(shared.value, batch["key"].to_numpy())))
+            for text in texts:
+                shingles = shingle_set(text.as_py())
+                if not len(shingles) or (name := class_of(shingles)) in seen:
+                    continue
                 seen.add(name)
                 sized = np.concatenate([[np.uint64(len(shingles))], wide_signature(shingles)])
                 rows.append((name, sized.tobytes(), shingles.tobytes()))
@@ -201,7 +204,14 @@ def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         kinds = (pa.int64(), pa.binary(), pa.binary())
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["class", "wide", "shingles"])
 
-    return _pass(docs, "class bigint, wide binary, shingles binary", make)
+    keyed = docs.select("text", id_key("doc_id").alias("key"))
+    sets = keyed.mapInArrow(run, "class bigint, wide binary, shingles binary")
+    return sets.withColumn("copy", F.monotonically_increasing_id())
+
+
+def id_key(column: str) -> Column:
+    """A hash of an id; null, which is the first id only of classes without any, counts as 0."""
+    return F.xxhash64(F.coalesce(column, F.lit(0).cast("bigint")))
 
 
 # --- signature trees ------------------------------------------------------------------------------
@@ -334,10 +344,11 @@ def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _paired(pairs: DataFrame, values: DataFrame, column: str, test: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """The pairs (a, b) whose values of a binary column pass a test."""
-    x = values.select(F.col("class").alias("a"), F.col(column).alias("x"))
-    y = values.select(F.col("class").alias("b"), F.col(column).alias("y"))
-    both = pairs.join(x, "a").join(y, "b")
+    """The pairs (a, b, copy_a, copy_b) whose values of a binary column pass a test."""
+    x = values.select(F.col("copy").alias("copy_a"), F.col(column).alias("x"))
+    y = values.select(F.col("copy").alias("copy_b"), F.col(column).alias("y"))
+    both = pairs.join(x, "copy_a").join(y, "copy_b")
+    keys = ["a", "b", "copy_a", "copy_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,9 +356,9 @@ def _paired(pairs: DataFrame, values: DataFrame, column: str, test: Callable[[np
                 test(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
                 for x, y in zip(batch["x"], batch["y"])
             ]
-            yield pa.record_batch([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(fits, pa.bool_()))
+            yield batch.select(keys).filter(pa.array(fits, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return both.select(*keys, "x", "y").mapInArrow(run, ", ".join(f"{k} bigint" for k in keys))
 
 
 def _wide_test(x: np.ndarray, y: np.ndarray) -> bool:
@@ -364,19 +375,25 @@ def _whole_test(x: np.ndarray, y: np.ndarray) -> bool:
     return bool(similar(int((both[1:] == both[:-1]).sum()), len(x), len(y)))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
     """The stored pairs that are similar. Bitmaps in proportion to the sets leave few pairs that are
-    not; for the rest the whole sets meet."""
+    not; for the rest the whole sets meet.
+
+    Of each class the document with the smallest id is read again. Where that still gives several rows (repeated ids,
+    or a bitmap that names too much), pairs choose one of them, so sets need no shuffle to be told apart."""
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    first = classes.join(ends, "class", "left_semi").select(id_key("first_id").alias("key"))
     path = scratch_dir(spark, f"sets-{label}")
-    sets_of(docs, bitmap(ends, "class")).dropDuplicates(["class"]).write.parquet(path)
+    sets_of(docs, bitmap(first, "key")).write.parquet(path)
     sets = spark.read.parquet(path)
+    chosen = sets.groupBy("class").agg(F.min("copy").alias("copy"))
+    a, b = (chosen.select(F.col("class").alias(x), F.col("copy").alias(f"copy_{x}")) for x in "ab")
     path = scratch_dir(spark, f"close-{label}")
-    _paired(pairs, sets, "wide", _wide_test).write.parquet(path)
+    _paired(pairs.join(a, "a").join(b, "b"), sets, "wide", _wide_test).write.parquet(path)
     close = spark.read.parquet(path)
     path = scratch_dir(spark, f"links-{label}")
-    _paired(close, sets, "shingles", _whole_test).write.parquet(path)
+    _paired(close, sets, "shingles", _whole_test).select("a", "b").write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -453,7 +470,7 @@ def link_groups(docs: DataFrame, common_from: int = 6, pivots: int = 3, id_col:
     met = spark.read.parquet(path)
     path = scratch_dir(spark, "stars")
     promising(star_pairs(met, pivots), classes).write.parquet(path)
-    links = verified(texts, spark.read.parquet(path), "stars")
+    links = verified(texts, spark.read.parquet(path), classes, "stars")
     labels = components(links)
 
     known = classes.join(labels, "class", "left").select("class", "n", "sig", F.coalesce("component", "class").alias("component"))
@@ -463,7 +480,7 @@ def link_groups(docs: DataFrame, common_from: int = 6, pivots: int = 3, id_col:
     tree_pairs(crossing.join(known.select("class", "n", "sig"), "class")).write.parquet(path)
     pairs = spark.read.parquet(path)
     if not pairs.isEmpty():
-        labels = components(links.union(verified(texts, pairs, "pairs")))
+        labels = components(links.union(verified(texts, pairs, classes, "pairs")))
 
     named = classes.select("class", "first_id").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
