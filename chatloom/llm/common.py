@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable
 from typing import Any
 
 from pyarrow import fs
@@ -25,6 +25,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, with as many underscores before it as no column of that name takes."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Memo(dict):
     """A dict that makes missing values; emptied at ``limit`` entries, long keys are not kept."""
 

@@ -491,8 +491,14 @@ def link_groups(docs: DataFrame, common_from: int = 6, pivots: int = 3, id_col:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, one of each id; rows without id stay."""
+    """The rows of ``docs`` whose id is their component's, one of each id; rows without id stay.
+
+    Rows of equal id are versions of one document: the one whose text comes first in byte order stays,
+    a null text before all others, and among equal texts the one of the smallest row hash.
+    """
     groups = link_groups(docs.filter("doc_id is not null").select("doc_id", "text"))
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.filter("doc_id is null"))
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    first = F.min_by(F.struct("*"), F.struct(F.col("text"), F.xxhash64("*")))
+    one = named.groupBy("doc_id").agg(first.alias("_row")).select("_row.*")
+    return one.unionByName(docs.filter("doc_id is null"))

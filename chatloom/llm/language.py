@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import crc_mod
+from chatloom.llm.common import crc_mod, unused
 
 UNDETERMINED = "und"
 BUCKETS = 4096
@@ -114,8 +114,8 @@ def train(docs: DataFrame, learn: Column, per_language: int = 400, bits: int = 1
     return LanguageModel(languages, words, fit_bits(x[order], y[order], words))
 
 
-def predict(docs: DataFrame, model: LanguageModel | None, lead: float = 0.2) -> DataFrame:
-    """``docs`` (every column kept as it is) with ``_lang``: struct of lang_pred, score, ambiguous.
+def predict(docs: DataFrame, model: LanguageModel | None, lead: float = 0.2, name: str = "_lang") -> DataFrame:
+    """``docs`` (every column kept as it is) with ``name``: struct of lang_pred, score, ambiguous.
 
     A text that is null or has no letter, or any text without a model, is ``und`` with score 0.
     ``ambiguous`` marks a lead over the next language below ``lead``.
@@ -143,9 +143,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, lead: float = 0.2) ->
                     results.append(
                         {"lang_pred": model.languages[best[i]], "score": float(top[0]), "ambiguous": bool(gap < lead)}
                     )
-            yield pa.record_batch([*batch.columns, pa.array(results, kind)], [*batch.schema.names, "_lang"])
+            yield pa.record_batch([*batch.columns, pa.array(results, kind)], [*batch.schema.names, name])
 
-    schema = f"{fields}, _lang struct<lang_pred: string, score: double, ambiguous: boolean>"
+    schema = f"{fields}, `{name}` struct<lang_pred: string, score: double, ambiguous: boolean>"
     return docs.mapInArrow(run, schema)
 
 
@@ -166,6 +166,7 @@ def keep_identified(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataF
     """The rows of ``docs`` with a language: neither undetermined nor ambiguous, with their own columns."""
     held = F.coalesce(crc_mod(F.col("doc_id"), folds) == held_out, F.lit(False))
     model = train(docs.select("doc_id", "text", "lang"), ~held)
-    found = predict(docs, model)
-    rejected = (F.col("_lang.lang_pred") == UNDETERMINED) | F.col("_lang.ambiguous")
-    return found.filter(~rejected).drop("_lang")
+    name = unused("_lang", docs.columns)
+    found = predict(docs, model, name=name)
+    rejected = (F.col(name)["lang_pred"] == UNDETERMINED) | F.col(name)["ambiguous"]
+    return found.filter(~rejected).drop(name)

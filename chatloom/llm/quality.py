@@ -199,8 +199,15 @@ def score_quality(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", t
 
 
 def keep_good(docs: DataFrame, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns. Votes are learned from all rows in a
-    first pass; the second applies the model row by row, without a join."""
-    featured = with_features(docs, text_col)
-    model = fit(_patterns(featured))
-    return featured.filter(_verdict(F.col("_quality"), model, least)).drop("_quality")
+    """The rows of ``docs`` that are kept, with their own columns, whatever these are called.
+
+    Rows and counts are stored once, side by side: the votes are learned from the stored counts of all
+    rows, and the verdict reads them too. Over counts that are not stored the optimizer would write
+    their whole expressions into the filter, inside lambdas, and work them out for every element.
+    """
+    path = scratch_dir(docs.sparkSession, "quality")
+    boxed = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    with_features(boxed).drop("text").write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    model = fit(_patterns(stored.select("_quality")))
+    return stored.filter(_verdict(F.col("_quality"), model, least)).select("row.*")
