@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import bpe, jaccard, language, mixing, neighbours, packing, quality, token_counts, token_files, warc
+from chatloom.llm import bpe, jaccard, language, mixing, neighbours, packing, quality, token_counts, token_files, warc, whitening
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -58,6 +58,10 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,6 +75,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_votes,
         op9_token_files,
         op10_projected_neighbours,
+        op12_qdwh_whitening,
     )
 }
 LLM_ORACLES: dict[str, str] = {}
