@@ -20,6 +20,8 @@ from chatloom.llm.common import Memo
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _WORDS = re.compile(f"[^{WHITE}]+")
 _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# A blank before more white space, or at the end, is part of a run that has to be seen as a whole.
+BLANK_IN_RUN = re.compile(f" (?:[{WHITE}]|\\Z)")
 _NOT_WHITE = re.compile("[\\x1c-\\x1f]")  # str.split() takes them for blanks, the patterns don't
 
 # Letters and numbers up to U+024F, for which the patterns are written out here; texts
@@ -88,7 +90,7 @@ class Encoder:
         if self.drops_blanks:
             words = _WORDS.findall(text) if _NOT_WHITE.search(text) else text.split()
             return map(self.plain.__getitem__, words)
-        if "  " in text or text.endswith(" "):  # a run of blanks belongs to the word after it
+        if BLANK_IN_RUN.search(text):
             return map(self.plain.__getitem__, _RUNS.findall(text))
         head, *words = text.split(" ")
         return self._after(head, words)

@@ -7,9 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import bpe, jaccard, language, mixing, neighbours, packing, quality, token_counts, token_files, warc, whitening
-
-WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
+from chatloom.llm import (
+    bpe,
+    jaccard,
+    language,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    warc,
+    whitening,
+    word_shuffle,
+)
+
+WORD_FILE, BYTE_FILE, RANK_FILE = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +75,11 @@ def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return word_shuffle.digests(word_shuffle.round_trip(docs, public_tokenizers.path(RANK_FILE)))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +94,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_files,
         op10_projected_neighbours,
         op12_qdwh_whitening,
+        op13_distinct_word_bpe,
     )
 }
 LLM_ORACLES: dict[str, str] = {}
