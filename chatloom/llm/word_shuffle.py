@@ -16,6 +16,7 @@ import base64
 import heapq
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import public_tokenizers
@@ -26,48 +27,38 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import Memo
-from chatloom.llm.encoding import _BYTE_PIECES, _LATIN, _RUNS, BLANK_IN_RUN, WHITE
+from chatloom.llm.encoding import _BYTE_PIECES, _LATIN, WHITE
 from chatloom.session import scratch_dir
 
 # Fixed value: white space as the pattern means it.
 _PATTERN = regex.compile(public_tokenizers.PATTERN.replace("[^\\s", f"[^{WHITE}").replace("\\s", f"[{WHITE}]").replace("\\S", f"[^{WHITE}]"))
 
-BLOCK_BYTES = 8 << 20
+# Characters of text, or ids, that a block holds unless one document has more.
+BLOCK_SIZE = 16 << 20
 LISTS = "block bigint, items array<binary>, doc_id bigint, places binary"
 
 
-def split_chunk(chunk: str) -> list[str]:
-    """The matches of the pattern in a chunk that starts at a blank or where the text starts."""
-    return _BYTE_PIECES.findall(chunk) if _LATIN.fullmatch(chunk) else _PATTERN.findall(chunk)
+def pretokens(text: str) -> list[str]:
+    """The matches of the pattern, in order."""
+    return _BYTE_PIECES.findall(text) if _LATIN.fullmatch(text) else _PATTERN.findall(text)
 
 
-class Listing:
-    """A block's list of distinct items, and places in it for every item of a document."""
+class Listing(dict):
+    """A block's distinct items, numbered as they come."""
 
-    def __init__(self):
-        self.items: dict[bytes, int] = {}
-        self.plain = Memo(lambda chunk: self.numbers(p.encode() for p in split_chunk(chunk)), 100_000)
-        self.spaced = Memo(lambda word: self.numbers(p.encode() for p in split_chunk(" " + word)), 100_000)
+    def __missing__(self, item: str | int) -> int:
+        self[item] = number = len(self)
+        return number
 
-    def numbers(self, items: Iterable[bytes]) -> bytes:
-        return array.array("I", [self.items.setdefault(item, len(self.items)) for item in items]).tobytes()
+    def places(self, items: Iterable[str | int]) -> bytes:
+        """Where each of ``items`` is in the list, as 32-bit numbers."""
+        return array.array("I", map(self.__getitem__, items)).tobytes()
 
-    def of_text(self, text: str) -> bytes:
-        """Places of a text's pretokens. No pretoken reaches over the blank before a word, so chunks are
-        cut there, and a chunk met before is not split again."""
-        if BLANK_IN_RUN.search(text):
-            return b"".join(map(self.plain.__getitem__, _RUNS.findall(text)))
-        head, *words = text.split(" ")
-        return b"".join([self.plain[head] if head else b"", *map(self.spaced.__getitem__, words)])
 
-    def of_ids(self, ids: list[int]) -> bytes:
-        return self.numbers(map(b"%d".__mod__, ids))
-
-
-def list_blocks(rows: DataFrame, kind: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of ``rows`` (doc_id and one column ``value`` of texts or lists of ids), stored once.
+def list_blocks(rows: DataFrame, split: Callable[[Any], Iterable], block_size: int = BLOCK_SIZE) -> DataFrame:
+    """Blocks of ``rows`` (doc_id and one column ``value``), stored once.
 
+    ``split`` gives a value's items; a block ends where its values would be longer than ``block_size``.
     A block has one row with its distinct items and one row per document with places in that list, as
     compressed 32-bit numbers; other columns are null. Null values have no items.
     """
@@ -81,7 +72,7 @@ def list_blocks(rows: DataFrame, kind: str, block_bytes: int = BLOCK_BYTES) -> D
             return pa.record_batch(
                 [
                     pa.array([number] * (len(ids) + 1), pa.int64()),
-                    pa.array([list(listing.items), *none], pa.list_(pa.binary())),
+                    pa.array([[str(item).encode() for item in listing], *none], pa.list_(pa.binary())),
                     pa.array([None, *ids], pa.int64()),
                     pa.array([None, *places], pa.binary()),
                 ],
@@ -91,12 +82,11 @@ def list_blocks(rows: DataFrame, kind: str, block_bytes: int = BLOCK_BYTES) -> D
         for batch in batches:
             for doc_id, scalar in zip(batch["doc_id"].to_pylist(), batch["value"]):
                 value = scalar.as_py()
-                if ids and size + len(value or ()) > block_bytes:
+                if ids and size + len(value or ()) > block_size:
                     yield block()
                     number, listing, size, ids, places = number + 1, Listing(), 0, [], []
-                found = (listing.of_text(value) if kind == "text" else listing.of_ids(value)) if value else b""
                 ids.append(doc_id)
-                places.append(packer.compress(found))
+                places.append(packer.compress(listing.places(split(value)) if value else b""))
                 size += len(value or ()) + 64
         if ids:
             yield block()
@@ -110,7 +100,8 @@ def join_back(stored: DataFrame, translated: DataFrame, columns: list[str]) -> D
     """The documents of stored blocks with every item replaced by what ``translated`` says of it.
 
     ``translated`` has one row per distinct ``item``, with binary ``columns``; a document gets the
-    concatenation of each in the order of its items.
+    concatenation of each in the order of its items. A column ``ids`` holds 32-bit numbers and becomes
+    array<int>.
     """
     lists = stored.filter("items is not null").select(F.col("block").alias("home"), F.posexplode("items").alias("place", "item"))
     found = lists.join(translated, "item").select("home", "place", *columns)
@@ -124,17 +115,26 @@ def join_back(stored: DataFrame, translated: DataFrame, columns: list[str]) -> D
             places = array.array("I", unpack.decompress(packed.as_py()))
             for parts, values in zip(tables, out):
                 values.append(b"".join(map(parts.__getitem__, places)))
-        return pa.table([texts["doc_id"], *(pa.array(v, pa.binary()) for v in out)], names=["doc_id", *columns])
+        done = [_number_lists(v) if c == "ids" else pa.array(v, pa.binary()) for c, v in zip(columns, out)]
+        return pa.table([texts["doc_id"], *done], names=["doc_id", *columns])
 
-    schema = "doc_id bigint, " + ", ".join(f"{c} binary" for c in columns)
+    schema = "doc_id bigint, " + ", ".join(f"{c} {'array<int>' if c == 'ids' else 'binary'}" for c in columns)
     return documents.groupBy("block").cogroup(found.groupBy("home")).applyInArrow(assemble, schema)
 
 
+def _number_lists(values: list[bytes]) -> pa.Array:
+    """Little-endian 32-bit numbers as lists."""
+    ends = np.cumsum([0, *(len(v) // 4 for v in values)], dtype=np.int64)
+    flat = pa.array(np.frombuffer(b"".join(values), np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
 class Ranks:
     """Byte-pair merges by the ranks of a tiktoken file: a token's rank is its id."""
 
     def __init__(self, path: str):
         self.ranks = read_ranks(path)
+        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
 
     def encode(self, word: bytes) -> list[int]:
         """Ids of one pretoken: adjacent parts merge, lowest rank first and leftmost among equals.
@@ -182,15 +182,22 @@ def token_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """``item`` and its ids as little-endian 32-bit numbers, of each row of a table of distinct words."""
+    """Each row's ``item``, its ids as little-endian 32-bit numbers, and ``decoded``, the bytes the ids stand for.
+
+    The token-byte table is as long as the file that every task has read anyway, so here ids meet it in the
+    task; :func:`decode` joins it as a table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = ranks_of(path)
         for batch in batches:
-            ids = [array.array("I", tokens.encode(w)).tobytes() for w in batch["item"].to_pylist()]
-            yield pa.record_batch([batch["item"], pa.array(ids, pa.binary())], ["item", "ids"])
+            ids = [tokens.encode(w) for w in batch["item"].to_pylist()]
+            decoded = [b"".join(map(tokens.bytes_of.__getitem__, i)) for i in ids]
+            packed = [array.array("I", i).tobytes() for i in ids]
+            columns = [batch["item"], pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())]
+            yield pa.record_batch(columns, ["item", "ids", "decoded"])
 
-    return words.select("item").mapInArrow(run, "item binary, ids binary")
+    return words.select("item").mapInArrow(run, "item binary, ids binary, decoded binary")
 
 
 def _listed(docs: DataFrame, id_col: str, value: Column) -> DataFrame:
@@ -200,29 +207,13 @@ def _listed(docs: DataFrame, id_col: str, value: Column) -> DataFrame:
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Stored blocks of the texts, and the stored ids of every distinct pretoken."""
     spark = docs.sparkSession
-    stored = list_blocks(_listed(docs, id_col, F.col(f"`{text_col}`")), "text")
+    stored = list_blocks(_listed(docs, id_col, F.col(f"`{text_col}`")), pretokens)
     words = stored.filter("items is not null").select(F.explode("items").alias("item")).distinct()
     kept = scratch_dir(spark, "words")
     encode_words(words, path).write.parquet(kept)
     return stored, spark.read.parquet(kept)
 
 
-def _numbers(rows: DataFrame, column: str = "ids") -> DataFrame:
-    """A binary column of 32-bit numbers as array<int>, the other columns as they are."""
-    names, at = rows.columns, rows.columns.index(column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column(at).to_pylist()
-            ends = np.cumsum([0, *(len(v) // 4 for v in values)], dtype=np.int64)
-            flat = pa.array(np.frombuffer(b"".join(values), np.int32))
-            lists = pa.LargeListArray.from_arrays(pa.array(ends), flat).cast(pa.list_(pa.int32()))
-            yield pa.record_batch([lists if i == at else c for i, c in enumerate(batch.columns)], names)
-
-    fields = ", ".join(f"{f.name} {'array<int>' if f.name == column else f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, fields)
-
-
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (array<int>) of every document.
 
@@ -230,7 +221,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     empty table gives an empty one.
     """
     stored, words = _encoded(docs, path, id_col, text_col)
-    return _numbers(join_back(stored, words, ["ids"]))
+    return join_back(stored, words, ["ids"])
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -238,7 +229,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
     Ids that the token-byte table lacks are an error, as they stand for nothing.
     """
-    stored = list_blocks(_listed(encoded, id_col, F.col(f"`{ids_col}`")), "ids")
+    stored = list_blocks(_listed(encoded, id_col, F.col(f"`{ids_col}`")), list)
     known = token_bytes(encoded.sparkSession, path)
     items = stored.filter("items is not null").select(F.explode("items").alias("item")).distinct()
     number = F.col("item").cast("string").cast("int")
@@ -250,16 +241,11 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) and ``decoded``, the bytes that the ids stand for.
 
-    As the bytes of a document's ids are those of its words in a row, the distinct words' ids are joined
-    with the token-byte table, and ids and bytes join back to the documents together.
+    The bytes of a document's ids are those of its words' ids in a row, so each distinct word is
+    decoded once, and ids and bytes join back to the documents together.
     """
     stored, words = _encoded(docs, path, id_col, text_col)
-    numbers = _numbers(words.select("item", "ids")).select("item", F.posexplode("ids").alias("at", "id"))
-    parts = numbers.join(token_bytes(docs.sparkSession, path), "id").groupBy("item")
-    parts = parts.agg(F.sort_array(F.collect_list(F.struct("at", "bytes"))).alias("parts"))
-    joined = F.aggregate(F.col("parts.bytes"), F.lit(b"").cast("binary"), lambda a, b: F.concat(a, b))
-    decoded = parts.select("item", joined.alias("decoded"))
-    return _numbers(join_back(stored, words.join(decoded, "item"), ["ids", "decoded"]))
+    return join_back(stored, words, ["ids", "decoded"])
 
 
 def digests(tripped: DataFrame) -> DataFrame:

@@ -32,7 +32,8 @@ def ids_of(path, text):
 def random_texts(n, seed=3):
     rng = random.Random(seed)
     letters = "ab c'\ns\t<|>enéǅ1\x1c ́あ "
-    return ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(n)]
+    blanks = ["a\n \nb", "a\t \t b", "a \n", "a\n ", " \n \n x  \n  y"]
+    return blanks + ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(n)]
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
