@@ -73,8 +73,8 @@ def test_documents_spread_over_many_blocks(spark, library):
     docs = spark.createDataFrame([(i, f"word{i % 7} " * (i % 50)) for i in range(300)], "doc_id long, value string")
     stored = word_shuffle.list_blocks(docs.repartition(3), word_shuffle.pretokens, block_size=500)
     assert stored.select("block").distinct().count() > 30
-    words = stored.select(word_shuffle.F.explode("items").alias("item")).distinct()
-    rows = word_shuffle.join_back(stored, word_shuffle.encode_words(words, PATH), ["ids"]).collect()
+    found = word_shuffle.encode_lists(stored, PATH, memo=3)
+    rows = word_shuffle.join_back(stored, found, lambda ids: [ids], ["ids"]).collect()
     assert {r.doc_id: r.ids for r in rows} == {i: library.encode_ordinary(f"word{i % 7} " * (i % 50)) for i in range(300)}
 
 
@@ -82,3 +82,11 @@ def test_ids_of_no_token_are_refused(spark):
     rows = spark.createDataFrame([(1, [1, 999_999])], "doc_id long, ids array<int>")
     with pytest.raises(Exception, match="no token has the id 999999"):
         word_shuffle.decode(rows, PATH).collect()
+
+
+def test_packed_lists_come_back():
+    for parts in ([], [b""], [b"", b"a", b"\x00" * 300], [b"%d" % i for i in range(1000)]):
+        assert word_shuffle.unpack(word_shuffle.pack(parts)) == parts
+    for numbers in ([], [0], [2**32 - 1, 7, 256, 65536]):
+        packed = word_shuffle.pack_numbers(word_shuffle.np.array(numbers, dtype=word_shuffle.np.uint32))
+        assert word_shuffle.unpack_numbers(packed).tolist() == numbers
