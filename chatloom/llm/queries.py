@@ -14,6 +14,7 @@ from chatloom.llm import (
     mixing,
     neighbours,
     packing,
+    phrases,
     quality,
     token_counts,
     token_files,
@@ -80,6 +81,10 @@ def op13_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_shuffle.digests(word_shuffle.round_trip(docs, public_tokenizers.path(RANK_FILE)))
 
 
+def op11_fm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_votes,
         op9_token_files,
         op10_projected_neighbours,
+        op11_fm_phrases,
         op12_qdwh_whitening,
         op13_distinct_word_bpe,
     )
