@@ -11,7 +11,7 @@ frequent in all of them go back to their shards to grow, as no part of a frequen
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.words import pieces
@@ -294,7 +294,8 @@ def count_phrases(
     words = listed.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("f"))
     words = _stored(words.filter(F.col("f") >= least), "words")
 
-    levels, whole = [], Window.partitionBy("lang", "phrase")
+    # Rows are dealt out by phrase and sorted by a hash of it, as numbers sort faster than texts.
+    levels, whole = [], Window.partitionBy("hash", "lang", "phrase")
     growing = shards
     for rounds in range(longest - 1):
         grown = grow(growing, rounds)
@@ -302,11 +303,10 @@ def count_phrases(
             summed = grown.groupBy("lang", "phrase").agg(F.sum("count").alias("f"))
             levels.append(_stored(summed.filter(F.col("f") >= least), f"phrases-{rounds + 2}"))
             break
-        marked = grown.withColumns(
-            {"f": F.sum("count").over(whole), "copy": F.row_number().over(whole.orderBy("shard"))}
-        )
-        marked = _stored(marked.filter(F.col("f") >= least).drop("count"), f"phrases-{rounds + 2}")
-        levels.append(marked.filter("copy = 1").select("lang", "phrase", "f"))
+        dealt = grown.repartition("lang", "phrase").withColumn("hash", F.xxhash64("lang", "phrase"))
+        marked = dealt.withColumns({"f": F.sum("count").over(whole), "first": F.min("shard").over(whole)})
+        marked = _stored(marked.filter(F.col("f") >= least).drop("count", "hash"), f"phrases-{rounds + 2}")
+        levels.append(marked.filter("shard = first").select("lang", "phrase", "f"))
         # A shard's numbers are at most as many as its words.
         chosen = marked.groupBy("shard").agg(F.collect_list("number").alias(f"frequent_{rounds}"))
         growing = growing.join(chosen, "shard")
