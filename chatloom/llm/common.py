@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import array
 from collections.abc import Callable, Hashable, Iterable
 from typing import Any
 
+import numpy as np
+import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,3 +79,39 @@ class AtomicFile:
             self.fs.move(self.own, self.path)
         else:
             self.fs.delete_file(self.own)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """The low bytes of 32-bit numbers, then the next: as most numbers are small, this compresses well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack(parts: list[bytes], level: int = 9) -> bytes:
+    """A list of byte strings, compressed: their number and lengths, then all of them. Lists of 32-bit
+    numbers are stored by planes."""
+    lengths, data = np.array(list(map(len, parts)), np.uint32), b"".join(parts)
+    numbers = not (lengths % 4).any()
+    head = array.array("I", [len(parts), numbers]).tobytes() + _planes(lengths)
+    return zstandard.compress(head + (_planes(np.frombuffer(data, np.uint32)) if numbers else data), level)
+
+
+def unpack(packed: bytes) -> list[bytes]:
+    whole = zstandard.decompress(packed)
+    n, numbers = array.array("I", whole[:8])
+    data = whole[8 + 4 * n :]
+    data = _from_planes(data).tobytes() if numbers else data
+    ends = np.cumsum(_from_planes(whole[8 : 8 + 4 * n]), dtype=np.int64).tolist()
+    return [data[i:j] for i, j in zip([0, *ends], ends)]
+
+
+def pack_numbers(numbers: np.ndarray, level: int = 9) -> bytes:
+    """32-bit numbers, compressed."""
+    return zstandard.compress(_planes(numbers), level)
+
+
+def unpack_numbers(packed: bytes) -> np.ndarray:
+    return _from_planes(zstandard.decompress(packed))

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.llm.common import pack, pack_numbers, unpack, unpack_numbers
 from chatloom.llm.words import pieces
 from chatloom.session import scratch_dir
 
@@ -34,7 +35,7 @@ BREAK = b"\xff"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _SPLIT = bytes.maketrans(SEPARATORS + b"\t" + _UPPER, BREAK * len(SEPARATORS) + b" " + _UPPER.lower())
 
-SHARDS = "shard bigint, lang string, n bigint, words array<string>, counts array<bigint>, sequence binary"
+SHARDS = "shard bigint, lang string, n bigint, words binary, sequence binary"
 
 
 def split_words(data: bytes) -> list[bytes]:
@@ -64,18 +65,21 @@ class _Shard:
         self.size += len(words)
 
     def row(self, shard: int, lang: str) -> pa.RecordBatch:
+        """The shard as one row: its words, the most frequent first, and the texts as their numbers, packed."""
         sequence = np.concatenate([*self.parts, np.zeros(1, np.int32)])
         counts = np.bincount(sequence, minlength=len(self.numbers))[1:]
-        words = pa.array(list(self.numbers)[1:], pa.binary()).cast(pa.string())
-        columns = [
-            pa.array([shard], pa.int64()),
-            pa.array([lang], pa.string()),
-            pa.array([int(counts.sum())], pa.int64()),
-            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-            pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts.astype(np.int64))),
-            pa.array([sequence.tobytes()], pa.binary()),
-        ]
-        return pa.record_batch(columns, names=[c.split()[0] for c in SHARDS.split(", ")])
+        order = np.argsort(-counts, kind="stable")
+        number = np.zeros(len(order) + 1, np.int64)
+        number[order + 1] = np.arange(1, len(order) + 1)
+        words = list(self.numbers)
+        packed = pack([words[i + 1] for i in order]), pack_numbers(number[sequence])
+        values = [shard, lang, int(counts.sum()), *packed]
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], names=_names(SHARDS))
+
+
+def _names(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
 
 
 def store_shards(
@@ -118,7 +122,7 @@ def store_shards(
     path = scratch_dir(docs.sparkSession, "shards")
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNDETERMINED)).alias("lang")
     rows = docs.select(lang, F.col(f"`{text_col}`").alias("text")).filter("text is not null")
-    rows.mapInArrow(run, SHARDS).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(run, SHARDS).write.option("compression", "none").parquet(path)
     return docs.sparkSession.read.schema(SHARDS).parquet(path)
 
 
@@ -211,7 +215,7 @@ class ShardIndex:
         return Grams(np.hstack([grams.words[owner], word[:, None]]), grams.forward[owner] + further, new, times)
 
     def grown(self, frequent: list[np.ndarray]) -> Grams:
-        """The phrases of one word more than there are rounds in ``frequent``.
+        """The phrases of two words, or of one more for every round in ``frequent``.
 
         Each round has the numbers, in this same enumeration, of the phrases to go on with. A phrase
         comes up only if both its parts of one word less went on.
@@ -234,37 +238,38 @@ def _rows_in(rows: np.ndarray, chosen: np.ndarray, kinds: int) -> np.ndarray:
     return np.isin(code[len(chosen) :], code[: len(chosen)])
 
 
-GROWN = "shard bigint, number int, lang string, phrase string, count bigint"
+# A phrase goes by ``key``: its language, a tab (which no word holds), and its words with blanks between.
+GROWN = "shard bigint, number int, key string, count bigint"
 
 
 def grow(shards: DataFrame, rounds: int, batch_rows: int = 100_000) -> DataFrame:
-    """The phrases of ``rounds`` + 2 words in each shard, with number and count there.
+    """The phrases of ``rounds`` + 1 words in each shard, with number and count there.
 
-    ``shards`` has a column ``frequent_<i>`` (array<int>) for each round before: what may grow.
+    ``shards`` has a column ``frequent_<i>`` (array<int>) for each round after the second: what may grow.
     """
-    columns = [f"frequent_{i}" for i in range(rounds)]
+    columns = [f"frequent_{i}" for i in range(2, rounds + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                sequence = np.frombuffer(batch["sequence"][row].as_buffer(), np.int32)
-                frequent = [np.sort(batch[c][row].values.to_numpy(zero_copy_only=False)) for c in columns]
-                grams = ShardIndex(sequence, rounds + 2).grown(frequent)
-                words = batch["words"][row].values
+                sequence = unpack_numbers(batch["sequence"][row].as_py()).astype(np.int32)
+                index = ShardIndex(sequence, rounds + 1)
+                chosen = [np.sort(batch[c][row].values.to_numpy(zero_copy_only=False)) for c in columns]
+                grams = index.grown(chosen) if rounds else index.single()
+                words = pa.array(unpack(batch["words"][row].as_py()), pa.binary()).cast(pa.string())
+                first = pc.binary_join_element_wise(batch["lang"][row], words, "\t")
+                shard = batch["shard"][row].as_py()
                 for at in range(0, len(grams.count), batch_rows):
-                    part = grams[np.arange(at, min(at + batch_rows, len(grams.count)))]
-                    texts = [words.take(pa.array(column - 1)) for column in part.words.T]
+                    part = grams[slice(at, at + batch_rows)]
+                    texts = [(words if i else first).take(pa.array(c - 1)) for i, c in enumerate(part.words.T)]
                     many = len(part.count)
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(many, batch["shard"][row].as_py())),
-                            pa.array(np.arange(at, at + many, dtype=np.int32)),
-                            pa.repeat(batch["lang"][row], many),
-                            pc.binary_join_element_wise(*texts, " "),
-                            pa.array(part.count),
-                        ],
-                        names=["shard", "number", "lang", "phrase", "count"],
-                    )
+                    values = [
+                        pa.array(np.full(many, shard)),
+                        pa.array(np.arange(at, at + many, dtype=np.int32)),
+                        pc.binary_join_element_wise(*texts, " "),
+                        pa.array(part.count),
+                    ]
+                    yield pa.record_batch(values, names=_names(GROWN))
 
     return shards.select("shard", "lang", "words", "sequence", *columns).mapInArrow(run, GROWN)
 
@@ -286,33 +291,35 @@ def count_phrases(
     lang_col: str = "lang",
     text_col: str = "text",
 ) -> Counts:
-    """Exact counts of all words and phrases of up to ``longest`` words that occur ``least`` times in a language."""
-    spark = docs.sparkSession
+    """Exact counts of all words and phrases of 2 to ``longest`` words that occur ``least`` times in a language."""
     shards = store_shards(docs, shard_words, lang_col, text_col)
     totals = _stored(shards.groupBy("lang").agg(F.sum("n").alias("n")), "totals").filter("n > 0")
-    listed = shards.select("lang", F.inline(F.arrays_zip("words", "counts")))
-    words = listed.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("f"))
-    words = _stored(words.filter(F.col("f") >= least), "words")
 
     # Rows are dealt out by phrase and sorted by a hash of it, as numbers sort faster than texts.
-    levels, whole = [], Window.partitionBy("hash", "lang", "phrase")
+    levels, whole = [], Window.partitionBy("hash", "key")
     growing = shards
-    for rounds in range(longest - 1):
+    for rounds in range(longest):
         grown = grow(growing, rounds)
-        if rounds == longest - 2:
-            summed = grown.groupBy("lang", "phrase").agg(F.sum("count").alias("f"))
-            levels.append(_stored(summed.filter(F.col("f") >= least), f"phrases-{rounds + 2}"))
-            break
-        dealt = grown.repartition("lang", "phrase").withColumn("hash", F.xxhash64("lang", "phrase"))
+        if rounds in (0, longest - 1):
+            summed = grown.groupBy("key").agg(F.sum("count").alias("f"))
+            levels.append(_stored(summed.filter(F.col("f") >= least), f"phrases-{rounds + 1}"))
+            continue
+        dealt = grown.repartition("key").withColumn("hash", F.xxhash64("key"))
         marked = dealt.withColumns({"f": F.sum("count").over(whole), "first": F.min("shard").over(whole)})
-        marked = _stored(marked.filter(F.col("f") >= least).drop("count", "hash"), f"phrases-{rounds + 2}")
-        levels.append(marked.filter("shard = first").select("lang", "phrase", "f"))
+        marked = _stored(marked.filter(F.col("f") >= least).drop("count", "hash"), f"phrases-{rounds + 1}")
+        levels.append(marked.filter("shard = first").select("key", "f"))
         # A shard's numbers are at most as many as its words.
-        chosen = marked.groupBy("shard").agg(F.collect_list("number").alias(f"frequent_{rounds}"))
+        chosen = marked.groupBy("shard").agg(F.collect_list("number").alias(f"frequent_{rounds + 1}"))
         growing = growing.join(chosen, "shard")
-    empty = spark.createDataFrame([], "lang string, phrase string, f bigint")
-    phrases = empty
-    for level in levels:
+    tab = F.length("key") - F.length(F.substring_index("key", "\t", -1))
+    named = [
+        level.select(
+            F.expr("substring(key, 1, tab - 1)").alias("lang"), F.expr("substring(key, tab + 1)").alias("phrase"), "f"
+        )
+        for level in (level.withColumn("tab", tab) for level in levels)
+    ]
+    words, phrases = named[0], named[1]
+    for level in named[2:]:
         phrases = phrases.unionByName(level)
     return Counts(totals, words, phrases)
 

@@ -25,12 +25,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import Memo
+from chatloom.llm.common import Memo, pack, pack_numbers, unpack, unpack_numbers
 from chatloom.llm.encoding import _BYTE_PIECES, _LATIN, WHITE
 from chatloom.session import scratch_dir
 
@@ -45,30 +44,6 @@ BLOCKS = "block bigint, slice int, items binary, places binary, doc_ids array<bi
 FOUND = "home bigint, places binary, parts binary"
 
 
-def pack(parts: list[bytes]) -> bytes:
-    """A list of byte strings, compressed: their number, their lengths, then all of them."""
-    lengths = array.array("I", [len(parts), *map(len, parts)])
-    return zstandard.compress(lengths.tobytes() + b"".join(parts))
-
-
-def unpack(packed: bytes) -> list[bytes]:
-    data = zstandard.decompress(packed)
-    (n,) = array.array("I", data[:4])
-    ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 * (n + 1)
-    return [data[i:j] for i, j in zip([4 * (n + 1), *ends.tolist()], ends.tolist())]
-
-
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, all low bytes first, then the next: as most are small, this compresses well."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(planes.tobytes())
-
-
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
-
 def pretokens(text: str) -> list[str]:
     """The matches of the pattern, in order."""
     return _BYTE_PIECES.findall(text) if _LATIN.fullmatch(text) else _PATTERN.findall(text)
@@ -133,7 +108,7 @@ def list_blocks(
             yield from block.rows(number, slices)
 
     path = scratch_dir(rows.sparkSession, "blocks")
-    rows.select("doc_id", "value").mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(path)
+    rows.select("doc_id", "value").mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(BLOCKS).parquet(path)
 
 

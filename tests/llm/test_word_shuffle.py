@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -85,8 +86,8 @@ def test_ids_of_no_token_are_refused(spark):
 
 
 def test_packed_lists_come_back():
-    for parts in ([], [b""], [b"", b"a", b"\x00" * 300], [b"%d" % i for i in range(1000)]):
+    for parts in ([], [b""], [b"", b"a", b"\x00" * 300], [b"%d" % i for i in range(1000)], [b"abcd", b"", b"12345678"]):
         assert word_shuffle.unpack(word_shuffle.pack(parts)) == parts
     for numbers in ([], [0], [2**32 - 1, 7, 256, 65536]):
-        packed = word_shuffle.pack_numbers(word_shuffle.np.array(numbers, dtype=word_shuffle.np.uint32))
+        packed = word_shuffle.pack_numbers(np.array(numbers, dtype=np.uint32))
         assert word_shuffle.unpack_numbers(packed).tolist() == numbers
