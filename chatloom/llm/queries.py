@@ -103,4 +103,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_distinct_word_bpe,
     )
 }
-LLM_ORACLES: dict[str, str] = {}
