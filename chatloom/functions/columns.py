@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,6 +55,20 @@ def chat_file_name(path: Column) -> Column:
     return F.substring_index(F.when(last.endswith(".json"), last).otherwise(folder), "=", -1)
 
 
-def chat_file_tokens(name: Column) -> Column:
-    """Channel, year, number and VOD id (or ``""``) in a chat file's name; else one element."""
+def chat_file_tokens(name: Column, channels: Sequence[str] = ()) -> Column:
+    """Channel, year, number and VOD id (or ``""``) in a chat file's name; else one element.
+
+    A name can be read in several ways where a channel's name ends in a year, or a number looks like one. Of
+    the given ``channels`` the longest that fits decides; without any, or for others, the first year in the name.
+    """
+    if channels:
+        quoted = "|".join(rf"\Q{c}\E" for c in sorted(set(channels), key=lambda c: (-len(c), c)))
+        known = CHAT_FILE.replace("(.+?)", f"({quoted})", 1)
+        name = F.regexp_replace(name, known, "$1/$2/$3/$4")
     return F.split(F.regexp_replace(name, CHAT_FILE, "$1/$2/$3/$4"), "/")
+
+
+def plain_path(file_path: Column) -> Column:
+    """A file's path as listings spell it: scans give it URL-encoded, and local ones with three slashes."""
+    decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")

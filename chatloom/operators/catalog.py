@@ -45,13 +45,19 @@ def day_number(files: DataFrame) -> DataFrame:
     return files.join(numbers, keys)
 
 
-def download_manifest(vods: DataFrame, channel: str, years: DataFrame, root: str = "raw_bronze") -> DataFrame:
-    """What to fetch: per year, broadcasts numbered from 0 by time, with target name and key."""
-    wanted = vods.withColumn("year", F.year("created_at")).join(years, "year", "left_semi")
+def _with_file_numbers(vods: DataFrame) -> DataFrame:
+    """Broadcasts with ``year`` and ``file_number``, counted from 0 by time within the year."""
     # A year is cut into hours, and a crowded hour further by instant and by ranges of ids.
     hour = F.date_trunc("hour", "created_at")
     ids = F.struct("created_at", F.expr("id div 1000"))
-    manifest = numbered(wanted, "file_number", ["year"], [hour, ids], ["created_at", "id"], start=0)
+    dated = vods.withColumn("year", F.year("created_at"))
+    return numbered(dated, "file_number", ["year"], [hour, ids], ["created_at", "id"], start=0)
+
+
+def download_manifest(vods: DataFrame, channel: str, years: DataFrame, root: str = "raw_bronze") -> DataFrame:
+    """What to fetch: per year, broadcasts numbered from 0 by time, with target name and key."""
+    wanted = vods.join(years, F.year("created_at") == years["year"], "left_semi")
+    manifest = _with_file_numbers(wanted)
     name = F.format_string(f"{channel}_%d_%03d_%d.json", "year", "file_number", "id")
     return manifest.withColumn("file_name", name).select(
         "year",
@@ -64,26 +70,36 @@ def download_manifest(vods: DataFrame, channel: str, years: DataFrame, root: str
     )
 
 
-def _landed(files: DataFrame) -> DataFrame:
-    return files.filter(F.col("vod_id").isNotNull()).select("vod_id").distinct()
+def _by_key(vods: DataFrame, files: DataFrame, channel: str | None) -> DataFrame:
+    """Broadcasts with ``landed``: whether a file is theirs, by VOD id or, in a name of the oldest form, by
+    year and number. A broadcast asks for both keys, a file has one."""
+    by_id = lambda vod: F.concat(F.lit("vod "), vod)
+    by_number = lambda year, number: F.concat_ws(" ", F.lit("number"), year, number)
+    wanted = _with_file_numbers(vods).select("year", F.col("id").cast("string").alias("vod_id"), "title", "file_number")
+    asked = wanted.withColumn("key", F.explode(F.array(by_id(F.col("vod_id")), by_number(F.col("year"), F.col("file_number")))))
+    old = F.col("vod_id").isNull()
+    if channel is not None:
+        files = files.filter(~old | (F.col("channel") == channel))
+    key = F.when(old, by_number(F.col("year"), F.col("file_seq"))).otherwise(by_id(F.col("vod_id")))
+    found = files.select(key.alias("key")).distinct().withColumn("landed", F.lit(True))
+    return asked.join(found, "key", "left").groupBy(*wanted.columns).agg(F.coalesce(F.bool_or("landed"), F.lit(False)).alias("landed"))
 
 
-def missing_raw_files(vods: DataFrame, files: DataFrame) -> DataFrame:
-    """Broadcasts without a landed chat file: year, VOD id and title."""
-    wanted = vods.select(
-        F.year("created_at").alias("year"), F.col("id").cast("string").alias("vod_id"), "title"
-    )
-    return wanted.join(_landed(files), "vod_id", "left_anti").select("year", "vod_id", "title")
+def missing_raw_files(vods: DataFrame, files: DataFrame, channel: str | None = None) -> DataFrame:
+    """Broadcasts without a landed chat file: year, VOD id and title.
+
+    A file without VOD id in its name is the broadcast of that number in the download manifest of its
+    year. With ``channel``, the catalogue's, only such files of this channel count.
+    """
+    return _by_key(vods, files, channel).filter(~F.col("landed")).select("year", "vod_id", "title")
 
 
-def download_report(vods: DataFrame, files: DataFrame, years: DataFrame) -> DataFrame:
+def download_report(vods: DataFrame, files: DataFrame, years: DataFrame, channel: str | None = None) -> DataFrame:
     """Per requested year: broadcasts wanted, present and missing.
 
     The missing ones themselves are the rows of :func:`missing_raw_files`.
     """
-    wanted = vods.select(F.year("created_at").alias("year"), F.col("id").cast("string").alias("vod_id"))
-    marked = wanted.join(_landed(files).withColumn("landed", F.lit(True)), "vod_id", "left")
-    counts = marked.groupBy("year").agg(
+    counts = _by_key(vods, files, channel).groupBy("year").agg(
         F.count(F.lit(1)).alias("vods_wanted"), F.count_if("landed").alias("vods_present")
     )
     return (

@@ -7,15 +7,30 @@ from pyspark.sql import functions as F
 
 from chatloom.schemas import BADGE_COLUMNS
 
-# A bare None, True or False is a value: it follows ``[``, ``,`` or ``:`` and ends at ``,``, ``]`` or ``}``.
-# The word comes first in the pattern, so that the search skips to it.
-_BARE = r"{0}(?<=[\[,:]\s?{0})(?=\s?[,\]}}])"
+# The tokens of list text: quoted text, a bare word, what stands between them, a quote that nothing closes.
+_TOKENS = (
+    r"(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+    r'|"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    r"""|[A-Za-z_]\w*+|[^'"A-Za-z_]++|['"]"""
+)
+# Bare words and what JSON calls them.
+_BARE = {"None": "null", "True": "true", "False": "false"}
 
 
 def _as_json(text: Column) -> Column:
-    """List text as the JSON it nearly is: bare words renamed, two-digit escapes widened."""
-    for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, _BARE.format(word), value)
+    """List text as the JSON it nearly is: bare words renamed, two-digit escapes widened.
+
+    Only words outside quotes are bare; most texts hold none of these words and are left as they are.
+    """
+
+    def renamed(token: Column) -> Column:
+        value = token
+        for word, name in _BARE.items():
+            value = F.when(token == word, F.lit(name)).otherwise(value)
+        return value
+
+    tokens = F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
+    text = F.when(text.rlike("|".join(_BARE)), F.array_join(F.transform(tokens, renamed), "")).otherwise(text)
     return F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-f]{2})", r"$1\\u00$2")
 
 

@@ -77,9 +77,32 @@ LEGACY_FLAT = _struct(
     message=TEXT,
 )
 
+# What became of each file that the incremental ingest has taken up.
+LEDGER = _struct(
+    path=TEXT,
+    file_name=TEXT,
+    channel=TEXT,
+    year=T.IntegerType(),
+    file_seq=LONG,
+    vod_id=TEXT,
+    length=LONG,
+    modified=TIME,
+    status=TEXT,
+    message_rows=LONG,
+    emote_rows=LONG,
+    missing_user_rows=LONG,
+    recorded=TIME,
+)
+
 BADGE_COLUMNS = ["i_badge_names", "i_badge_titles", "i_badge_versions"]
 PARTITIONS = ["channel", "year"]
 
+# Quotes are doubled inside text, and timestamps keep their microseconds.
+CSV = {"header": True, "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+# The exact form: NULL apart from empty text, and blanks at the edges of a text.
+EXACT_CSV = {**CSV, "nullValue": "\\N", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 # Column names of earlier panel revisions and the current name of each.
 RENAMED = {"i_username": "i_user_name", "message": "chat_message"}
 
@@ -91,6 +114,7 @@ REPORT_LABELS = {
     "unprocessed_files": "Unprocessed Files",
     "no_emote_files": "No Emote Files",
     "failed_files": "Failed Files",
+    "pending_files": "Pending Files",
     "missing_user_files": "Missing User Files",
     "total_emote_records": "Total Emote Records",
     "records_missing_user_info": "Records Missing User_info",

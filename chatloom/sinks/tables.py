@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom.operators.panel import flatten_badges
-from chatloom.schemas import PARTITIONS, REPORT_LABELS
-
-# Quotes are doubled inside text, and timestamps keep their microseconds.
-CSV = {"header": True, "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+from chatloom.schemas import CSV, EXACT_CSV, PARTITIONS, REPORT_LABELS
+from chatloom.storage import Storage
 
 # Keeps one output file to a size that readers split well.
 ROWS_PER_FILE = 20_000_000
@@ -26,35 +26,84 @@ def _sized(df: DataFrame, files: int | None, keys: list[str]) -> DataFrame:
     return df.repartition(files) if files else df.hint("rebalance", *map(F.col, keys))
 
 
-def _partitioned(df: DataFrame, keys: list[str]):
+def _partitioned(df: DataFrame, keys: list[str], mode: str = "overwrite"):
     return (
-        df.write.mode("overwrite")
+        df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*keys)
     )
 
 
-def write_silver(panel: DataFrame, path: str, per_vod: bool = True) -> None:
-    """Silver panel; a rerun replaces the folders it has rows for and no other.
+BUCKET = re.compile(r"bucket=\d+of(\d+)$")
+FOLDERS = "channel=*/year=*/bucket=*"
+
+
+def write_silver(panel: DataFrame, path: str, buckets: int = 8) -> None:
+    """Silver panel; a rerun replaces the broadcasts it has rows for and no others.
 
-    With ``per_vod`` a folder is one VOD, so that a single VOD can be replaced. Rows without VOD id
-    get a folder for each ``file_name``, if the panel has that column: it goes into the folders
-    and not into the table. Without ``per_vod``, a folder is a channel's year with the rows in VOD
-    order: the form for loading whole years, as committing and listing do not grow with the number
-    of VODs.
+    A channel's year is ``buckets`` folders, whatever its number of broadcasts (the first write fixes how
+    many). A broadcast's rows lie in the bucket that a hash of its VOD id says, or of its ``file_name`` where there
+    is no id; that column, if the panel has it, goes no further. Only touched buckets are read, without the
+    broadcasts that come anew, and written again with these.
+
+    Rows are staged inside the table's path, out of readers' sight, and moved into place at the end, so
+    a panel may be made from the table itself. A write that was stopped while moving is finished by the next one.
+    One writer at a time.
     """
-    unit = [*PARTITIONS, "vod_id"]
-    if "file_name" in panel.columns:
-        if per_vod:
-            named = F.when(F.col("vod_id").isNull(), F.col("file_name")).otherwise(F.lit("-"))
-            panel, unit = panel.withColumn("source_file", named), [*unit, "source_file"]
-        panel = panel.drop("file_name")
-    rows = _sized(panel, None, unit)
-    if per_vod:
-        _partitioned(rows, unit).parquet(path)
-    else:
-        _partitioned(rows.sortWithinPartitions(*PARTITIONS, "vod_id"), PARTITIONS).parquet(path)
+    spark, table = panel.sparkSession, Storage(panel.sparkSession, path)
+    finish_writes(table)
+    stored = _bucket_folders(table)
+    if stored:
+        buckets = int(BUCKET.search(stored[0])[1])
+    names = ["vod_id", *(["file_name"] if "file_name" in panel.columns else [])]
+    rows = panel.withColumn("source", F.coalesce(*names, F.lit("-"))).drop("file_name")
+    bucket = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(buckets)).cast("int")
+    rows = rows.withColumn("bucket", F.format_string(f"%dof{buckets}", bucket))
+
+    staged = f"_staged/{uuid.uuid4().hex}"
+    unit = [*PARTITIONS, "bucket"]
+
+    def stage(part: DataFrame) -> None:
+        sized = _sized(part, None, unit).sortWithinPartitions(*unit, "source")
+        _partitioned(sized, unit, "append").parquet(f"{table.root}/{staged}")
+
+    stage(rows)
+    touched = [name.removeprefix(f"{staged}/") for name in table.matching(f"{staged}/{FOLDERS}")]
+    old = [name for name in touched if name in set(stored)]
+    if old:
+        keys = [*PARTITIONS, "source"]
+        fresh = _read_folders(spark, table, [f"{staged}/{name}" for name in touched], staged)
+        stage(_read_folders(spark, table, old).join(fresh.select(*keys).distinct(), keys, "left_anti"))
+    table.touch(f"{staged}/_READY")
+    finish_writes(table)
+
+
+def finish_writes(table: Storage) -> None:
+    """Move what a whole staged write has left to move; what an unfinished one has staged is dropped."""
+    for staged in table.matching("_staged/*"):
+        if table.exists(f"{staged}/_READY"):
+            for folder in table.matching(f"{staged}/{FOLDERS}"):
+                table.replace(folder.removeprefix(f"{staged}/"), by=folder)
+        table.delete(staged)
+
+
+def _bucket_folders(table: Storage) -> list[str]:
+    """The folders of a table's buckets; tables of earlier layouts have to be migrated first."""
+    found = [name for name in table.matching("channel=*/year=*/*") if not name.rpartition("/")[2].startswith(("_", "."))]
+    if any(not BUCKET.search(name) for name in found):
+        raise ValueError(f"{table.root} has an earlier layout: copy it with chatloom.plans.migrate_silver")
+    return found
+
+
+def _read_folders(spark: SparkSession, table: Storage, folders: list[str], base: str = "") -> DataFrame:
+    """Some folders of a table with all their columns; channels and buckets are text whatever they look like."""
+    kinds = {"channel": T.StringType(), "year": T.IntegerType(), "bucket": T.StringType()}
+    paths = [f"{table.root}/{name}" for name in folders]
+    reader = lambda: spark.read.option("basePath", f"{table.root}/{base}")
+    found = reader().option("mergeSchema", True).parquet(*paths).schema
+    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found]
+    return reader().schema(T.StructType(fields)).parquet(*paths)
 
 
 def write_gold_parquet(gold: DataFrame, path: str, files: int | None = None) -> None:
@@ -62,10 +111,33 @@ def write_gold_parquet(gold: DataFrame, path: str, files: int | None = None) ->
     _partitioned(_sized(gold, files, PARTITIONS), PARTITIONS).parquet(path)
 
 
-def write_gold_csv(gold: DataFrame, path: str, files: int | None = None) -> None:
-    """Gold panel as CSV with header, badge arrays joined by commas."""
-    flat = _sized(flatten_badges(gold, ","), files, PARTITIONS)
-    _partitioned(flat, PARTITIONS).options(**CSV).csv(path)
+def write_gold_csv(gold: DataFrame, path: str, files: int | None = None, exact: bool = False) -> None:
+    """Gold panel as CSV with header, badge arrays joined by commas.
+
+    With ``exact`` no record has a line break inside, so that readers may split the files, and
+    :func:`chatloom.sources.read_gold_csv` gives back the very rows: NULL is ``\\N``, in a list ``\\0``, an empty list ``\\E``, and a
+    backslash stands before ``n`` and ``r`` for line breaks, before commas in list elements, and before itself.
+    """
+    flat = gold.select(*(escaped_column(f) for f in gold.schema)) if exact else flatten_badges(gold, ",")
+    _partitioned(_sized(flat, files, PARTITIONS), PARTITIONS).options(**(EXACT_CSV if exact else CSV)).csv(path)
+
+
+def escaped_column(field: T.StructField) -> Column:
+    """A column as the exact CSV form holds it."""
+    column = F.col(field.name)
+    if field.name in PARTITIONS:
+        return column
+    if isinstance(field.dataType, T.ArrayType):
+        element = lambda x: F.coalesce(F.replace(_escaped(x), F.lit(","), F.lit("\\,")), F.lit("\\0"))
+        joined = F.array_join(F.transform(column, element), ",")
+        return F.when(F.size(column) == 0, F.lit("\\E")).otherwise(joined).alias(field.name)
+    return _escaped(column).alias(field.name) if isinstance(field.dataType, T.StringType) else column
+
+
+def _escaped(text: Column) -> Column:
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
 
 
 def write_report(report: DataFrame, path: str, format: str = "csv", labels: bool = False) -> None:

@@ -121,3 +121,16 @@ def test_missing_files_and_report(spark, vods, files):
     assert tuples(catalog.missing_raw_files(vods, files)) == [(2020, "4", "Late"), (2021, "2", "the dreamers")]
     report = catalog.download_report(vods, files, year_frame(spark, "2020,2021,2022"))
     assert [tuple(r) for r in report.collect()] == [(2020, 3, 2, 1), (2021, 1, 0, 1), (2022, 0, 0, 0)]
+
+
+def test_files_of_the_oldest_form_are_found_by_number(spark, vods):
+    files = spark.createDataFrame(
+        [("c_2020_1.json", "c", 2020, 1, None), ("d_2020_2.json", "d", 2020, 2, None), ("c_2021_5.json", "c", 2021, 5, None),
+         ("c_2020_001_1.json", "c", 2020, 1, "1")],
+        "file_name string, channel string, year int, file_seq bigint, vod_id string",
+    )
+    # By time the broadcasts of 2020 are 1, 3 and 4, numbered from 0.
+    assert tuples(catalog.missing_raw_files(vods, files), "vod_id") == [("2",)]
+    assert tuples(catalog.missing_raw_files(vods, files, channel="c"), "vod_id") == [("2",), ("4",)]
+    report = catalog.download_report(vods, files, year_frame(spark, "2020,2021"), channel="c")
+    assert [tuple(r) for r in report.collect()] == [(2020, 3, 2, 1), (2021, 1, 0, 1)]

@@ -64,8 +64,9 @@ def test_hot_vod_is_written_by_several_tasks(spark, small, tmp_path):
     path = str(tmp_path / "silver")
     rows = hot(spark)
     write_silver(rows, path)
-    files = list((tmp_path / "silver" / "channel=chan" / "year=2020" / "vod_id=0").glob("*.parquet"))
-    assert len(files) > 1
+    folders = (tmp_path / "silver" / "channel=chan" / "year=2020").iterdir()
+    hot_one = max(folders, key=lambda folder: sum(f.stat().st_size for f in folder.glob("*.parquet")))
+    assert len(list(hot_one.glob("*.parquet"))) > 1
     names = [f.name for f in PANEL]
     back = read_silver(spark, path).select(*names)
     assert back.count() == rows.count() and back.exceptAll(rows.select(*names)).count() == 0
@@ -92,16 +93,16 @@ def scans(df):
 
 def test_badge_report_reads_two_columns_once(spark, stored):
     (scan,) = scans(badge_report(stored))
-    # The old name of the user column is asked for too; files without it have nothing to read.
-    assert "ReadSchema: struct<i_user_name:string,i_badge_names:array<string>,i_username:string>" in scan
+    assert "ReadSchema: struct<i_user_name:string,i_badge_names:array<string>>" in scan
 
 
 def test_filters_and_partitions_reach_the_scan(spark, stored):
-    # Filters on the two columns that once had other names are applied after the scan.
     (scan,) = scans(stored.filter("i_user_id is null").select("vod_id"))
     assert "PushedFilters: [IsNull(i_user_id)]" in scan
-    (scan,) = scans(stored.filter("vod_id = '7'").select("k_emote_name"))
-    assert "vod_id" in scan.split("PartitionFilters")[1].split("]")[0]
+    (scan,) = scans(stored.filter("i_user_name is null").select("vod_id"))
+    assert "PushedFilters: [IsNull(i_user_name)]" in scan
+    (scan,) = scans(stored.filter("vod_id = '7' and year = 2020").select("k_emote_name"))
+    assert "EqualTo(vod_id,7)" in scan and "year" in scan.split("PartitionFilters")[1].split("]")[0]
 
 
 def test_cross_frequency_makes_no_product_rows(spark, stored):

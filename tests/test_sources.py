@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import parse_years, safe_title
 from chatloom.operators import panel
 from chatloom.schemas import CORRUPT
-from chatloom.sources import is_broken, list_raw_files, read_catalog, read_chat, read_legacy_panel, with_file_metadata
+from chatloom.sources import broken_files, is_blank, list_raw_files, read_catalog, read_chat, read_legacy_panel, with_file_metadata
 
 
 def test_reads_whole_file_arrays_of_all_files(spark, land):
@@ -26,7 +26,7 @@ def test_broken_file_gives_one_marked_row(spark, land):
     rows = with_file_metadata(read_chat(spark, raw))
     broken = rows.filter(F.col(CORRUPT).isNotNull())
     assert [r.vod_id for r in broken.collect()] == ["11"]
-    assert tuples(rows.filter(is_broken()), "vod_id") == [("11",)]
+    assert tuples(rows.filter(is_blank()), "vod_id") == [("11",)]
     assert panel.emote_panel(rows).count() == 1
 
 
@@ -43,13 +43,13 @@ def test_one_odd_value_is_one_null(spark, land):
         ("a", 1, plain, 10), ("b", 1, None, None), ("c", 1, plain, 10),
         ("d", 1, None, None), ("e", 5, plain, 10), ("f", 1, plain, 10), ("x", 1, plain, 10),
     ]
-    assert chat.filter(is_broken()).count() == 0
+    assert chat.filter(is_blank()).count() == 0
 
 
 def test_a_single_object_is_one_message_and_a_list_of_other_things_is_broken(spark, land):
     raw = land(chan_2020_001_11=message(["a"]), chan_2020_002_12=[message(["b"]), "junk"])
     chat = with_file_metadata(read_chat(spark, raw))
-    assert tuples(chat.filter(is_broken()), "vod_id") == [("12",)]
+    assert tuples(chat.filter(is_blank()), "vod_id") == [("12",)]
     assert tuples(panel.emote_panel(chat), "vod_id") == [("11",)]
 
 
@@ -142,3 +142,72 @@ def test_parse_years():
 def test_safe_title(spark):
     row = spark.createDataFrame([("É A, B - C/1", "x" * 80)], "a string, b string")
     assert tuple(row.select(safe_title(F.col("a")), safe_title(F.col("b"))).first()) == ("É_A__B_-_C_1", "x" * 50)
+
+
+def test_verdict_on_files_with_a_blank_row(spark, land):
+    raw = land(
+        chan_2020_001_1='[{"action_type": "x"}]',
+        chan_2020_002_2='[{"message": "m", "emotes": [{"name": "e"}]}, {"action_type": "x"}]',
+        chan_2020_003_3='[{"message": "m"}, {"mess',
+        chan_2020_004_4='[{"time_in_seconds": "often"}]',
+        chan_2020_006_6='[{"message": "m"}, "junk"]',
+        chan_2020_007_7='{"time_in_seconds": "often"}',
+        **{"a b+c%[x]_2020_005_5": "[{"},
+    )
+    found = with_file_metadata(broken_files(read_chat(spark, raw)))
+    assert tuples(found, "vod_id") == [("3",), ("5",), ("6",)]
+    assert broken_files(read_chat(spark, land(chan_2020_003_3="[]", chan_2020_006_6="[]", **{"a b+c%[x]_2020_005_5": "[]"}))).count() == 0
+
+
+def test_longest_known_channel_decides(spark):
+    names = ["chan_2020_2021_33.json", "chan_2020_2021_033_7.json", "chan_2020_007_1.json", "other_2020_1.json"]
+    rows = spark.createDataFrame([(n,) for n in names], "path string")
+    parts = lambda channels: [tuple(r)[2:] for r in with_file_metadata(rows, F.col("path"), channels).collect()]
+    assert parts([]) == [("chan", 2020, 2021, "33"), ("chan_2020", 2021, 33, "7"), ("chan", 2020, 7, "1"), ("other", 2020, 1, None)]
+    assert parts(["chan", "chan_2020"]) == [
+        ("chan_2020", 2021, 33, None), ("chan_2020", 2021, 33, "7"), ("chan", 2020, 7, "1"), ("other", 2020, 1, None)
+    ]
+
+
+def odd_messages(n, seed=4):
+    import random
+
+    rng = random.Random(seed)
+    odd = ['{"', "}", '"}', "\\", '\\"', "[{", "é}", "\n", "a", " ", "{{", "}}", '\\\\"{']
+    return [
+        message([rng.choice(odd)], ["x"] * rng.randrange(3), message="".join(rng.choices(odd, k=rng.randrange(30))), other={"deep": [{}, {"a": "}"}]})
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("split_bytes", [40, 100, 1000, 10_000_000])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_a_long_file_is_read_by_several_tasks(spark, tmp_path, split_bytes, indent):
+    import json
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(3):
+        (raw / f"chan_2020_{i:03d}_{i}.json").write_text(json.dumps(odd_messages(60, i), indent=indent))
+    (raw / "chan_2020_004_4.json").write_text("[]" + " " * 200)
+    (raw / "chan_2020_005_5.json").write_text(json.dumps(odd_messages(60))[:-9])
+    (raw / "chan_2020_006_6.json").write_text(json.dumps([message(message="x" * 5000)]))
+    whole = with_file_metadata(read_chat(spark, str(raw)))
+    split = with_file_metadata(read_chat(spark, str(raw), split_bytes))
+    columns = [F.to_json(F.struct("author", "emotes", "timestamp", "time_text", "time_in_seconds", "message")).alias("m"), "vod_id"]
+    assert tuples(split, *columns) == tuples(whole, *columns)
+    assert split.count() == 3 * 60 + 1 + 1
+    assert tuples(with_file_metadata(broken_files(split)), "vod_id") == [("5",)]
+
+
+def test_ranges_of_a_long_file_are_tasks_of_their_own(spark, tmp_path):
+    import json
+
+    from chatloom.sources import split
+
+    path = tmp_path / "chan_2020_001_1.json"
+    path.write_text(json.dumps(odd_messages(400)))
+    records = split.split_records(spark, [str(path)], 10_000)
+    assert records.count() == 400
+    ranges = path.stat().st_size // 10_000
+    assert ranges > 5 and spark.read.option("lineSep", "}").text(str(path)).count() > 400

@@ -26,7 +26,7 @@ message AS MATERIALIZED (
     CASE WHEN c_custkey % 5 <> 0 THEN
       ['subscriber', CASE WHEN c_custkey % 31 <> 0 THEN 'premium' END, 'moderator'][1:c_custkey % 4] END AS names,
     CASE WHEN c_custkey % 5 <> 0 THEN
-      ['Subscriber', 'Premium', CASE WHEN c_custkey % 29 <> 0 THEN 'Moderator' END][1:c_custkey % 4] END AS titles,
+      ['Subscriber', 'Fan, None, True', CASE WHEN c_custkey % 29 <> 0 THEN 'Moderator' END][1:c_custkey % 4] END AS titles,
     CASE WHEN c_custkey % 5 <> 0 THEN
       [CAST(c_custkey % 12 AS VARCHAR), CAST(c_custkey % 12 + 1 AS VARCHAR), CAST(c_custkey % 12 + 2 AS VARCHAR)]
       [1:c_custkey % 4] END AS versions,
@@ -74,7 +74,7 @@ GOLD = (
 gold AS (SELECT panel.*, title AS match_title FROM panel LEFT JOIN vod ON panel.vod_id = CAST(vod.id AS VARCHAR))"""
 )
 
-# The four awkward files, and per file what the messages of the tables add up to.
+# The five awkward files, and per file what the messages of the tables add up to.
 FILES = (
     MESSAGE
     + """,
@@ -91,6 +91,7 @@ edge_file AS (
     ('edge_case_2019_001_900000000001.json', 'edge_case', 2019, 1, '900000000001', 0, 0, 0, 0, 'no_emote'),
     ('edge_case_2019_002_900000000002.json', 'edge_case', 2019, 2, '900000000002', 0, 0, 0, 1, 'failed'),
     ('edge_case_2019_003_900000000003.json', 'edge_case', 2019, 3, '900000000003', 1, 0, 0, 1, 'no_emote'),
+    ('edge_case_2015_3.json', 'edge_case', 2015, 3, CAST(NULL AS VARCHAR), 0, 0, 0, 0, 'no_emote'),
     ('edge_case_2012_7.json', 'edge_case', 2012, 7, CAST(NULL AS VARCHAR), 1, 2, 2, 1, 'processed'))
   AS edge(file_name, channel, year, file_seq, vod_id, message_rows, emote_rows, missing_user_rows,
           scanned_rows, status)),
@@ -126,24 +127,25 @@ def oracle(name: str, tables: str, select: str) -> None:
 
 # Sources
 
-oracle(
-    "read_chat_files",
-    MESSAGE,
-    """
+CHAT_ROWS = """
 SELECT channel, year, vod_id, author_id, author_name, colour, array_to_string(names, ',') AS badge_names,
+  array_to_string(titles, ',') AS badge_titles, array_to_string(versions, ',') AS badge_versions,
   array_to_string(emote_list[1:emotes], ',') AS emote_names, micros AS timestamp, time_text,
-  CAST(seconds AS DOUBLE) AS time_in_seconds, message, 0 AS broken FROM message
+  CAST(seconds AS DOUBLE) AS time_in_seconds, message, 0 AS blank FROM message
 UNION ALL VALUES
-  ('edge_case', 2019, '900000000002', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 1),
-  ('edge_case', 2019, '900000000003', '1', 'a', NULL, '', '', 1, NULL, NULL, 'm', 0),
-  ('edge_case', 2012, NULL, NULL, 'b', NULL, '', 'e,f', 1325376000000001, '0:01', 1.5, 'e f', 0)""",
-)
+  ('edge_case', 2019, '900000000002', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 1),
+  ('edge_case', 2019, '900000000003', '1', 'a', NULL, '', '', '', '', 1, NULL, NULL, 'm', 0),
+  ('edge_case', 2012, NULL, NULL, 'b', NULL, '', '', '', 'e,f', 1325376000000001, '0:01', 1.5, 'e f', 0)"""
+oracle("read_chat_files", MESSAGE, CHAT_ROWS)
+oracle("read_chat_split", MESSAGE, CHAT_ROWS)
 oracle("read_vod_catalog", VOD, "SELECT id, title, created_at, duration, url FROM vod")
 oracle(
     "read_silver_panel",
     PANEL,
     f"SELECT {PANEL_COLUMNS}, channel, year FROM panel WHERE channel = 'middle_east'",
 )
+oracle("read_silver_mixed_revisions", PANEL, f"SELECT {PANEL_COLUMNS}, channel, year FROM panel")
+oracle("migrate_silver_table", PANEL, f"SELECT {PANEL_COLUMNS}, channel, year FROM panel")
 oracle("read_gold_panel", GOLD, f"SELECT {PANEL_COLUMNS}, match_title, channel, year FROM gold")
 oracle(
     "read_legacy_csv",
@@ -167,12 +169,19 @@ oracle(
 
 # Sinks
 
-oracle("write_silver_twice", PANEL, "SELECT channel, year, vod_id, count(*) AS record_count FROM panel GROUP BY ALL")
+oracle(
+    "write_silver_twice",
+    PANEL,
+    """
+SELECT channel, year, vod_id, count(*) FILTER (vod_id <> '21' OR k_emote_name IS NOT NULL) AS record_count,
+  count(*) FILTER (vod_id = '21' AND k_emote_name IS NOT NULL) AS edited_count
+FROM panel GROUP BY ALL""",
+)
 oracle("write_silver_by_year", PANEL, f"SELECT {PANEL_COLUMNS}, channel, year FROM panel")
 oracle(
     "write_gold_as_parquet",
     GOLD,
-    "SELECT year, match_title, count(*) AS record_count FROM gold WHERE channel = 'middle_east' GROUP BY ALL",
+    "SELECT channel, year, match_title, count(*) AS record_count FROM gold GROUP BY ALL",
 )
 oracle(
     "write_gold_as_csv",
@@ -183,6 +192,14 @@ SELECT i_user_id, i_user_name, {CSV_LIST.format('names', ',')} AS i_badge_names,
   nullif(k_emote_name, '') AS k_emote_name, match_title, vod_id, channel, year
 FROM gold""",
 )
+oracle(
+    "write_gold_as_exact_csv",
+    GOLD,
+    f"""
+SELECT {PANEL_COLUMNS.replace('chat_message', "chat_message || chr(13) || chr(10) || ' a, " + '"b"' + " " + chr(92) + "N' AS chat_message")},
+  match_title, channel, year
+FROM gold""",
+)
 USERS = (
     PANEL
     + """,
@@ -232,8 +249,10 @@ oracle(
     "legacy_panel",
     PANEL,
     """
-SELECT author_id AS i_user_id, i_user_name AS i_username, i_display_color, i_badge_titles AS i_badges, j_streamer,
-  k_emote_name, t_timestamp, t_time_text, CAST(t_seconds AS DOUBLE) AS t_seconds, chat_message AS message
+SELECT author_id AS i_user_id, i_user_name AS i_username, i_display_color,
+  array_to_string(list_transform(range(1, len(names) + 1), lambda k:
+    coalesce(names[k], '-') || '/' || coalesce(titles[k], '-') || '/' || versions[k]), ',') AS i_badges,
+  j_streamer, k_emote_name, t_timestamp, t_time_text, CAST(t_seconds AS DOUBLE) AS t_seconds, chat_message AS message
 FROM panel""",
 )
 oracle("micros_as_timestamp", MESSAGE, "SELECT micros AS timestamp, make_timestamp(micros) AS t_timestamp FROM message")
@@ -343,11 +362,17 @@ oracle(
 oracle("badge_distribution_subquery", USERS, DISTRIBUTION)
 VOD_YEAR = """
 wanted AS (SELECT CAST(year(created_at) AS INTEGER) AS year, CAST(id AS VARCHAR) AS vod_id, title FROM vod)"""
-oracle(
-    "missing_raw_files",
-    f"{FILES},{VOD},{VOD_YEAR}",
-    "SELECT year, vod_id, title FROM wanted WHERE vod_id NOT IN (SELECT vod_id FROM file WHERE vod_id IS NOT NULL)",
-)
+# A broadcast is there if a file has its id, or a file without id has its year and its number in the year.
+LANDED = """
+numbered AS (
+  SELECT CAST(year(created_at) AS INTEGER) AS year, CAST(id AS VARCHAR) AS vod_id, title,
+    row_number() OVER (PARTITION BY year(created_at) ORDER BY created_at, id) - 1 AS number
+  FROM vod),
+landed AS (
+  SELECT *, vod_id IN (SELECT vod_id FROM file WHERE vod_id IS NOT NULL)
+    OR (year, number) IN (SELECT (year, file_seq) FROM file WHERE vod_id IS NULL) AS there
+  FROM numbered)"""
+oracle("missing_raw_files", f"{FILES},{VOD},{LANDED}", "SELECT year, vod_id, title FROM landed WHERE NOT there")
 
 # Aggregations
 
@@ -408,6 +433,7 @@ SELECT year, count(file_name) AS total_files,
   count(*) FILTER (status <> 'processed') AS unprocessed_files,
   count(*) FILTER (status = 'no_emote') AS no_emote_files,
   count(*) FILTER (status = 'failed') AS failed_files,
+  count(*) FILTER (status = 'pending') AS pending_files,
   count(*) FILTER (missing_user_rows > 0) AS missing_user_files
 FROM years LEFT JOIN file USING (year) GROUP BY year"""
 oracle("ingest_report", f"{FILES}, {YEARS}", INGEST)
@@ -427,12 +453,11 @@ SELECT channel, year, file_name, vod_id, 'missing_user' FROM file WHERE missing_
 )
 oracle(
     "download_report",
-    f"{FILES},{VOD},{VOD_YEAR}, {YEARS}",
+    f"{FILES},{VOD},{LANDED}, {YEARS}",
     """
-SELECT years.year, count(wanted.vod_id) AS vods_wanted, count(landed.vod_id) AS vods_present,
+SELECT years.year, count(vod_id) AS vods_wanted, count(*) FILTER (there) AS vods_present,
   vods_wanted - vods_present AS vods_missing
-FROM years LEFT JOIN wanted ON years.year = wanted.year
-LEFT JOIN (SELECT DISTINCT vod_id FROM file) landed ON wanted.vod_id = landed.vod_id
+FROM years LEFT JOIN landed ON years.year = landed.year
 GROUP BY years.year""",
 )
 
@@ -478,5 +503,11 @@ oracle(
     f"""SELECT {PANEL_COLUMNS}, channel, year FROM panel
 UNION ALL SELECT {PANEL_COLUMNS}, channel, year FROM edge_panel""",
 )
+oracle(
+    "ingest_stream_failures",
+    FILES,
+    """SELECT file_name, channel, year, file_seq, vod_id, status, message_rows, emote_rows, missing_user_rows
+FROM file""",
+)
 oracle("silver_job", f"{FILES}, {YEARS}", INGEST)
 oracle("gold_job", f"{PANEL}, {YEARS}", GOLD_REPORT.format("channel = 'middle_east'"))

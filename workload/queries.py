@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from chatloom.functions import micros_to_timestamp, safe_title, user_status_placeholder, year_frame
 from chatloom.operators import audit, badges, catalog, gold, legacy, panel, users
-from chatloom.plans import badge_report, build_gold, build_silver
-from chatloom.schemas import BADGE_COLUMNS, PARTITIONS
+from chatloom.plans import badge_report, build_gold, build_silver, migrate_silver
+from chatloom.schemas import BADGE_COLUMNS, PARTITIONS, RENAMED
 from chatloom.session import configure, scratch_dir
 from chatloom.sinks import (
     inspect,
@@ -23,11 +23,14 @@ from chatloom.sinks import (
     write_silver,
 )
 from chatloom.sources import (
-    is_broken,
+    broken_files,
+    is_blank,
     list_raw_files,
     read_catalog,
     read_chat,
     read_gold,
+    read_gold_csv,
+    read_ledger,
     read_legacy_panel,
     read_silver,
     with_file_metadata,
@@ -93,7 +96,8 @@ def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.file_status(landed_files(spark, sf_dir), landed_chat(spark, sf_dir))
+    files, chat = landed_files(spark, sf_dir), read_chat(spark, adapter.landed(spark, sf_dir))
+    return audit.file_status(files, with_file_metadata(chat), with_file_metadata(broken_files(chat)))
 
 
 def years_of(spark: SparkSession) -> DataFrame:
@@ -103,19 +107,30 @@ def years_of(spark: SparkSession) -> DataFrame:
 # Sources
 
 
-@query
-def read_chat_files(spark, sf_dir):
+def chat_rows(chat: DataFrame) -> DataFrame:
     author = F.col("author")
-    return landed_chat(spark, sf_dir).select(
+    return with_file_metadata(chat).select(
         "channel", "year", "vod_id",
         author["id"].alias("author_id"), author["name"].alias("author_name"), author["colour"].alias("colour"),
         F.col("author.badges.name").alias("badge_names"),
+        F.col("author.badges.title").alias("badge_titles"),
+        F.col("author.badges.version").alias("badge_versions"),
         F.col("emotes.name").alias("emote_names"),
         "timestamp", "time_text", "time_in_seconds", "message",
-        is_broken().cast("int").alias("broken"),
+        is_blank().cast("int").alias("blank"),
     )
 
 
+@query
+def read_chat_files(spark, sf_dir):
+    return chat_rows(read_chat(spark, adapter.landed(spark, sf_dir)))
+
+
+@query
+def read_chat_split(spark, sf_dir):
+    return chat_rows(read_chat(spark, adapter.landed(spark, sf_dir), split_bytes=64 << 10))
+
+
 @query
 def read_vod_catalog(spark, sf_dir):
     path = scratch_dir(spark, "catalog")
@@ -130,6 +145,27 @@ def read_silver_panel(spark, sf_dir):
     return read_silver(spark, path, CHANNEL, adapter.YEARS)
 
 
+@query
+def read_silver_mixed_revisions(spark, sf_dir):
+    path = scratch_dir(spark, "mixed")
+    rows = panel_of(spark, sf_dir)
+    old_names = {new: old for old, new in RENAMED.items()}
+    rows.filter("year % 2 = 0").write.partitionBy(*PARTITIONS).parquet(path)
+    rows.filter("year % 2 = 1").withColumnsRenamed(old_names).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    return read_silver(spark, path)
+
+
+@query
+def migrate_silver_table(spark, sf_dir):
+    old, new = scratch_dir(spark, "old"), scratch_dir(spark, "silver")
+    rows = panel_of(spark, sf_dir)
+    # Part by broadcast, as the first layout had it, and part by year.
+    rows.filter("year % 2 = 0").write.partitionBy(*PARTITIONS, "vod_id").parquet(old)
+    rows.filter("year % 2 = 1").write.mode("append").partitionBy(*PARTITIONS).parquet(old)
+    migrate_silver(spark, old, new)
+    return read_silver(spark, new)
+
+
 @query
 def read_gold_panel(spark, sf_dir):
     path = scratch_dir(spark, "gold")
@@ -167,14 +203,18 @@ def write_silver_twice(spark, sf_dir):
     path = scratch_dir(spark, "silver")
     rows = panel_of(spark, sf_dir)
     write_silver(rows, path)
-    write_silver(rows.filter(F.col("channel") == CHANNEL), path)
-    return panel.record_count(read_silver(spark, path), ["channel", "year", "vod_id"])
+    edited = F.concat(F.lit("edited "), F.col("chat_message"))
+    write_silver(rows.filter("vod_id = '21' and k_emote_name is not null").withColumn("chat_message", edited), path)
+    return read_silver(spark, path).groupBy("channel", "year", "vod_id").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.count_if(F.col("chat_message").startswith("edited ")).alias("edited_count"),
+    )
 
 
 @query
 def write_silver_by_year(spark, sf_dir):
     path = scratch_dir(spark, "silver")
-    write_silver(panel_of(spark, sf_dir), path, per_vod=False)
+    write_silver(panel_of(spark, sf_dir), path, buckets=1)
     return read_silver(spark, path)
 
 
@@ -182,7 +222,7 @@ def write_silver_by_year(spark, sf_dir):
 def write_gold_as_parquet(spark, sf_dir):
     path = scratch_dir(spark, "gold")
     write_gold_parquet(gold_of(spark, sf_dir), path, files=8)
-    return panel.record_count(read_gold(spark, path, CHANNEL), ["year", "match_title"])
+    return panel.record_count(read_gold(spark, path), ["channel", "year", "match_title"])
 
 
 @query
@@ -196,6 +236,14 @@ def write_gold_as_csv(spark, sf_dir):
     )
 
 
+@query
+def write_gold_as_exact_csv(spark, sf_dir):
+    path = scratch_dir(spark, "gold-csv")
+    broken_line = F.concat("chat_message", F.lit('\r\n a, "b" \\N'))
+    write_gold_csv(gold_of(spark, sf_dir).withColumn("chat_message", broken_line), path, exact=True)
+    return read_gold_csv(spark, path)
+
+
 @query
 def write_badge_report(spark, sf_dir):
     path = scratch_dir(spark, "report")
@@ -259,8 +307,11 @@ def emote_panel(spark, sf_dir):
 
 @query
 def legacy_panel(spark, sf_dir):
+    def spelled(badge):
+        return F.concat_ws("/", F.coalesce(badge["name"], F.lit("-")), F.coalesce(badge["title"], F.lit("-")), badge["version"])
+
     old = panel.legacy_panel(chat_of(spark, sf_dir))
-    return old.withColumn("i_badges", F.col("i_badges.title"))
+    return old.withColumn("i_badges", F.transform("i_badges", spelled))
 
 
 @query
@@ -536,6 +587,19 @@ def ingest_chat_stream(spark, sf_dir):
     return read_silver(spark, out, streamed=True)
 
 
+@query
+def ingest_stream_failures(spark, sf_dir):
+    out = scratch_dir(spark, "stream")
+    run = ingest_stream(spark, adapter.landed(spark, sf_dir), out, scratch_dir(spark, "stream-checkpoint"))
+    run.awaitTermination()
+    counts = ["message_rows", "emote_rows", "missing_user_rows"]
+    files = read_ledger(spark, out).groupBy("file_name", "channel", "year", "file_seq", "vod_id").agg(
+        F.bool_or(F.col("status") == "failed").alias("failed"), *(F.sum(c).alias(c) for c in counts)
+    )
+    status = F.when(F.col("failed"), "failed").when(F.col("emote_rows") > 0, "processed").otherwise("no_emote")
+    return files.withColumn("status", status).drop("failed")
+
+
 @query
 def silver_job(spark, sf_dir):
     report, _ = build_silver(
