@@ -16,11 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.session import scratch_dir
+
 PAIRS = "query_id bigint, vec_id bigint, score double"
 
 
@@ -113,37 +114,48 @@ def best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def search_cell(
-    query: np.ndarray, own: int, y: np.ndarray, points: np.ndarray, norms: tuple[Projection, float],
-    ids: np.ndarray, projected: np.ndarray, bound2: float, k: int, factor: float, step: int = 256,
-) -> tuple[np.ndarray, np.ndarray]:
-    """The best k of a cell: projected neighbours in ascending order are verified on the original
-    vectors until the next one lies beyond the stopping radius of the k-th best found so far."""
-    away2 = ((projected - y) ** 2).sum(1)
-    near = np.flatnonzero((away2 <= bound2 * factor) & (ids != own))
-    near = near[np.lexsort((ids[near], away2[near]))]
-    got_ids, got = np.empty(0, np.int64), np.empty(0)
-    for at in range(0, len(near), step):
-        part = near[at : at + step]
-        if away2[part[0]] > bound2 * factor:
-            break
-        got_ids = np.concatenate([got_ids, ids[part]])
-        got = np.concatenate([got, scores(points[part], query)])
-        keep = best(got_ids, got, k)
-        got_ids, got = got_ids[keep], got[keep]
-        if len(got) == k:
-            projection, norm2 = norms
-            bound2 = min(bound2, float(projection.distance2(norm2, got[-1])))
-    return got_ids, got
+def search_block(
+    queries: np.ndarray, own: np.ndarray, bound2: np.ndarray, points: np.ndarray, ids: np.ndarray,
+    projection: Projection, k: int, factor: float, step: int = 256, together: int = 64,
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query its id and the best k of a block, as far as they can be among the best of all.
+
+    Projected distances are worked out for some queries ``together``. A query then takes its projected
+    neighbours in ascending order, ``step`` at first and twice as many each time, verifies them on the original
+    vectors, and stops where the next lies beyond the stopping radius of the k-th best found so far.
+    """
+    projected = projection.candidates(points)
+    squares = (projected * projected).sum(1)
+    for start in range(0, len(queries), together):
+        part = queries[start : start + together]
+        y = projection.queries(part)
+        away2 = squares - 2 * (y @ projected.T) + (y * y).sum(1)[:, None]
+        for q, query_id, bound, away in zip(part, own[start:], bound2[start:], away2):
+            norm2, at, size = float(q @ q), 0, step
+            rounding = 1e-12 * math.sqrt(projection.norm2 * norm2)
+            near = np.flatnonzero((away <= bound * factor) & (ids != query_id))
+            near = near[np.argsort(away[near], kind="stable")]
+            got_ids, got = np.empty(0, np.int64), np.empty(0)
+            while at < len(near) and away[near[at]] <= bound * factor:
+                now = near[at : at + size]
+                at, size = at + size, size * 2
+                if len(got) == k:  # the exact scores, equal for equal rows, only of what can be among the best
+                    now = now[points[now] @ q >= got[-1] - rounding]
+                got_ids, got = np.concatenate([got_ids, ids[now]]), np.concatenate([got, scores(points[now], q)])
+                keep = best(got_ids, got, k)
+                got_ids, got = got_ids[keep], got[keep]
+                if len(got) == k:
+                    bound = min(bound, float(projection.distance2(norm2, got[-1])))
+            yield int(query_id), got_ids, got
 
 
 def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """vec_id and v (array<double>) of the rows that take part: id and vector there, all components
-    finite, not all zero. Repeated rows count once."""
+    finite, not all zero. Repeated rows count once; of different vectors with one id the smallest stays."""
     v = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.filter(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0)).dropDuplicates(["vec_id"])
+    return rows.filter(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def nearest(
@@ -155,11 +167,12 @@ def nearest(
     The tree is built on at most about ``sample_size`` sampled rows; every row is placed in its leaf
     and can be found. The sample also gives each query a first bound, and with it the leaves whose box
     it must visit. A leaf with more rows than ``cell_size``, as equal vectors make one, is dealt over
-    several groups, and so are its queries, so no task holds more than a block of either. Vectors of
+    several groups, and so are its queries by their own number, so no task holds more than a block of
+    either. Rows and the queries' leaves are stored once. Vectors of
     another length than the most frequent one take no part. No rows give an empty result.
     """
     spark = vectors.sparkSession
-    rows = valid_vectors(vectors)
+    rows = _stored(valid_vectors(vectors), "vectors")
     sizes = rows.groupBy(F.size("v").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("norm2")
     )
@@ -213,39 +226,42 @@ def nearest(
     routed = queries.mapInArrow(
         route, "query_id bigint, v array<double>, bound2 double, cell int, seeds array<struct<vec_id: bigint, score: double>>"
     )
+    placed, routed = _stored(placed, "placed"), _stored(routed, "routed")
     # How many blocks of rows and of queries each leaf is dealt over; at most most_cells rows.
-    counts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    asked = max(1, math.ceil(n / every / cell_size))
-    blocks = counts.select("cell", F.ceil(F.col("n") / (2 * cell_size)).cast("int").alias("row_blocks"))
-    hashed = lambda c, of: F.pmod(F.xxhash64(c), F.col(of) if isinstance(of, str) else F.lit(of)).cast("int")
+    held = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    visits = routed.filter("cell >= 0").groupBy("cell").agg(F.count(F.lit(1)).alias("visits"))
+    blocks = held.join(visits, "cell").select(
+        "cell",
+        F.ceil(F.col("n") / (2 * cell_size)).cast("int").alias("row_blocks"),
+        F.ceil(F.col("visits") / (4 * cell_size)).cast("int").alias("query_blocks"),
+    )
+    hashed = lambda c, of: F.pmod(F.xxhash64(c), F.col(of)).cast("int")
     points = (
         placed.join(F.broadcast(blocks), "cell")
         .withColumn("row_block", hashed("vec_id", "row_blocks"))
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(asked - 1))))
+        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
         .select("cell", "row_block", "query_block", "vec_id", "v")
     )
     asking = (
         routed.filter("cell >= 0").join(F.broadcast(blocks), "cell")
         .withColumn("row_block", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
-        .withColumn("query_block", hashed("query_id", asked))
+        .withColumn("query_block", hashed("query_id", "query_blocks"))
         .select("cell", "row_block", "query_block", "query_id", F.col("v").alias("q"), "bound2")
     )
 
-    def search(found: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(found) and len(wanted):
-            projection = common.value[0]
-            x, ids = np.array(found["v"].tolist(), float), found["vec_id"].to_numpy()
-            projected = projection.candidates(x)
-            for own, q, bound2 in zip(wanted["query_id"], wanted["q"], wanted["bound2"]):
-                q = np.asarray(q, float)
-                y = projection.queries(q[None])[0]
-                got_ids, got = search_cell(q, own, y, x, (projection, float(q @ q)), ids, projected, bound2, k, factor)
-                out += [(own, i, s) for i, s in zip(got_ids.tolist(), got.tolist())]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    def search(key: tuple, found: pa.Table, wanted: pa.Table) -> pa.Table:
+        columns: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]]
+        if found.num_rows and wanted.num_rows:
+            points, queries = _matrix(found["v"].combine_chunks(), d), _matrix(wanted["q"].combine_chunks(), d)
+            own, bound2 = wanted["query_id"].to_numpy(), wanted["bound2"].to_numpy()
+            results = search_block(queries, own, bound2, points, found["vec_id"].to_numpy(), common.value[0], k, factor)
+            for query_id, ids, score in results:
+                for column, values in zip(columns, (np.full(len(ids), query_id), ids, score)):
+                    column.append(values)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, columns))))
 
     keys = ["cell", "row_block", "query_block"]
-    found = points.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, PAIRS)
+    found = points.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(search, PAIRS)
     seeds = routed.filter("cell < 0").select("query_id", F.inline("seeds")).select("query_id", "vec_id", "score")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
@@ -256,5 +272,11 @@ def nearest(
     )
 
 
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
