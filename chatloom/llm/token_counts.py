@@ -9,16 +9,19 @@ answered from stored counts.
 from __future__ import annotations
 
 import array
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from chatloom.llm.common import Memo, id_and_text
-from chatloom.llm.encoding import _RUNS, _WORDS, Encoder
+from chatloom.llm.encoding import _LATIN, _RUNS, _WORDS, SYMBOLS, WHITE, Encoder
 
 NEVER = 1 << 60
+_BLANKS = re.compile(f"^[{WHITE}]+")
 
 
 class PrefixCounter(Encoder):
@@ -112,11 +115,66 @@ class PrefixCounter(Encoder):
         for run in (_WORDS if self.drops_blanks else _RUNS).finditer(text):
             n = self.plain[run[0]]
             if total + n > budget:
-                ends = range(len(run[0]), -1, -1)
-                return run.start() + next(e for e in ends if total + self.chunk(run[0][:e]) <= budget)
+                return run.start() + self.fit_chunk(run[0], budget - total)
             total += n
         return len(text)
 
+    def fit_chunk(self, chunk: str, budget: int) -> int:
+        """The same within one chunk, from the stored counts of its pretokens' prefixes.
+
+        Pretokens before the cut are as in the whole chunk, so only the one that the budget ends in is looked
+        at. Texts whose letters change in number when normalized are tried cut by cut.
+        """
+        for content in self.special:
+            if content in chunk:
+                left, right = chunk.split(content, 1)
+                rest = budget - self.chunk(left) - 1
+                if rest >= 0:
+                    return len(left) + len(content) + self.fit_chunk(right, rest)
+                return self.fit_chunk(chunk[: len(left) + len(content) - 1], budget)
+        spans = self.spans(chunk)
+        if spans is None:
+            return next(e for e in range(len(chunk), -1, -1) if self.chunk(chunk[:e]) <= budget)
+        before, blank = 0, len(chunk) - len(_BLANKS.sub("", chunk))
+        for start, end, piece in spans:
+            counts = self.prefixes(piece)
+            if before + counts[-1] > budget:
+                cut = self._last_cut(chunk, start, end, counts, before, budget)
+                return cut if cut > blank else self._blank_cut(chunk[:blank], budget)
+            before += counts[-1]
+        return len(chunk)
+
+    def _blank_cut(self, blanks: str, budget: int) -> int:
+        """The last cut in the white space a chunk starts with: what is left of it is one pretoken."""
+        counts = self.prefixes("".join(map(SYMBOLS.__getitem__, blanks.encode()))) if blanks else ()
+        sizes = accumulate(len(c.encode()) for c in blanks)
+        return max((cut for cut, size in enumerate(sizes, 1) if counts[size - 1] <= budget), default=0)
+
+    def spans(self, chunk: str) -> list[tuple[int, int, str]] | None:
+        """Where the pretokens of a chunk stand, and their symbols; None if a place has no one place there."""
+        if _LATIN.fullmatch(chunk):
+            text = chunk.lower() if self.drops_blanks else chunk
+            if len(text) != len(chunk):
+                return None
+            found = self.split.finditer(text)
+            return [(*m.span(), "".join(map(SYMBOLS.__getitem__, m[0].encode()))) for m in found]
+        if self.drops_blanks:
+            return None
+        return [(start, end, piece) for piece, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def _last_cut(self, chunk: str, start: int, end: int, counts: array.array, before: int, budget: int) -> int:
+        """The last place from ``start`` on, before ``end``, where the text can be cut."""
+        sizes = list(accumulate(len(c.encode()) for c in chunk[start:end]))
+        for cut in range(end - 1, start, -1):
+            part = chunk[start:cut]
+            if part[0] == "'" and end - start <= 3:  # what is left of a short form splits otherwise
+                n = before + self.chunk(part)
+            else:
+                n = before + counts[sizes[cut - start - 1] - 1]
+            if n <= budget:
+                return cut
+        return start
+
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from functools import lru_cache
 
@@ -53,12 +54,28 @@ def test_every_prefix_has_its_exact_count(path):
             continue
         want = [len(library.encode(word[:k], add_special_tokens=False).ids) for k in range(1, len(word) + 1)]
         assert counter.prefixes(word).tolist() == want
-    for text in random_texts(150, seed=5):
+    odd = ["we'll'reheat", "x  \n \n  word'sake", "a<|endoftext|>bcd<|endoftext|>", "日本語テキストabc日本", "éÉÀx'd", "'" * 9, "\n\n\n   "]
+    for text in odd + random_texts(150, seed=5):
         counts = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
         for budget in (0, 1, 3, 8):
             assert counter.fit(text, budget) == max(k for k, n in enumerate(counts) if n <= budget), repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_budget_of_a_long_unbroken_text_is_answered_from_stored_counts(path):
+    counter, library = PrefixCounter(path), library_of(path)
+    for letters in ("abcdefghij0123456789+/", "日本語文字"):
+        text = "".join(random.Random(2).choices(letters, k=100_000 if letters.isascii() else 3_000))
+        if path == WORD and not letters.isascii():
+            continue
+        n = counter.count(text)
+        started = time.process_time()
+        cut = counter.fit(text, 2048)
+        assert n > 2048 and time.process_time() - started < 10
+        size = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+        assert size(text[:cut]) <= 2048 and all(size(text[:e]) > 2048 for e in range(cut + 1, cut + 40))
+
+
 def test_segment_tree_merges_like_the_library():
     library, tree = Tokenizer.from_file(BYTE), TreeEncoder(BYTE)
     for text in random_texts(2000, seed=7) + ["a" * 10_000, "ab" * 3000, "-" * 999]:
