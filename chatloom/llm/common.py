@@ -37,16 +37,23 @@ def unused(name: str, columns: Iterable[str]) -> str:
 
 
 class Memo(dict):
-    """A dict that makes missing values; emptied at ``limit`` entries, long keys are not kept."""
+    """A dict that makes missing values and holds at most about ``limit``; long keys are not kept.
+
+    When half of that is full it becomes the older half, from which values in use come back, and the
+    one before is forgotten.
+    """
 
     def __init__(self, make: Callable[[Any], Any], limit: int = 300_000, longest: int = 64):
         super().__init__()
-        self.make, self.limit, self.longest = make, limit, longest
+        self.make, self.limit, self.longest, self.older = make, limit, longest, {}
 
     def __missing__(self, key: Hashable) -> Any:
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if not isinstance(key, (str, bytes)) or len(key) <= self.longest:
-            if len(self) >= self.limit:
+            if 2 * len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value

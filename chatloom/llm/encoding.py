@@ -37,6 +37,10 @@ _BYTE_PIECES = re.compile(
 )
 
 
+# Texts up to this length are split as a whole, longer ones chunk by chunk.
+WHOLE = 1 << 20
+
+
 def byte_of_symbol() -> dict[str, int]:
     """The byte-level alphabet: visible Latin-1 characters stand for themselves, the others follow."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -90,6 +94,8 @@ class Encoder:
         if self.drops_blanks:
             words = _WORDS.findall(text) if _NOT_WHITE.search(text) else text.split()
             return map(self.plain.__getitem__, words)
+        if len(text) <= WHOLE and _LATIN.fullmatch(text) and not any(s in text for s in self.special):
+            return map(self.pieces.__getitem__, self.split.findall(text))
         if BLANK_IN_RUN.search(text):
             return map(self.plain.__getitem__, _RUNS.findall(text))
         head, *words = text.split(" ")
