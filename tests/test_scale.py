@@ -139,3 +139,36 @@ def test_manifest_of_one_crowded_instant(spark):
     expected = sorted(range(5000), key=lambda i: (0 if i % 3 == 0 else i, i))
     assert got == [str(i) for i in expected]
     assert manifest.agg(F.min("file_number"), F.max("file_number")).first() == (0, 4999)
+
+
+def test_the_first_layout_has_a_file_a_broadcast(spark, tmp_path):
+    from workload import adapter
+
+    rows = spark.range(0, 800, 1, 8).selectExpr(
+        "id", "'chan' as channel", "cast(2020 + id % 2 as int) as year", "cast(id % 20 as string) as vod_id"
+    )
+    adapter.write_first_layouts(rows, str(tmp_path / "old"))
+    assert len(list((tmp_path / "old").glob("*/*/vod_id=*/*.parquet"))) == 10
+    assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "old")).count() == 800
+
+
+def test_many_ranges_of_long_files_are_one_task(spark, land, monkeypatch):
+    import json
+
+    from conftest import message
+
+    from chatloom.sources import read_chat, split
+
+    raw = land(**{f"chan_2020_{i:03d}_{i}": json.dumps([message(message="}{" * i)] * 40) for i in range(8)})
+    seen = []
+
+    def spy(self, run, schema):
+        if schema == split.RANGES:
+            seen.append(self.rdd.getNumPartitions())
+        return in_arrow(self, run, schema)
+
+    kind = type(spark.range(1))
+    in_arrow = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", spy)
+    assert read_chat(spark, raw, 500).count() == 8 * 40
+    assert seen and seen[0] <= spark.sparkContext.defaultParallelism + 1
