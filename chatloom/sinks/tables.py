@@ -18,12 +18,19 @@ from chatloom.storage import Storage
 ROWS_PER_FILE = 20_000_000
 
 
+# Readers cannot split a CSV file whose records have line breaks, so it is one task's work.
+ROWS_PER_UNSPLIT_FILE = 200_000
+
+
 def _sized(df: DataFrame, files: int | None, keys: list[str]) -> DataFrame:
-    """Even partitions for a write: a given number, or as many as the data needs.
+    """Even partitions for a write: as many as the data needs, a folder's rows dealt into ``files`` slices if given.
 
-    REBALANCE brings the rows of a key together but splits a hot one and merges small ones.
+    REBALANCE brings the rows of a key, or a slice of it, together but splits a hot one and merges small ones.
     """
-    return df.repartition(files) if files else df.hint("rebalance", *map(F.col, keys))
+    if not files:
+        return df.hint("rebalance", *map(F.col, keys))
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*map(F.col, df.columns)), F.lit(files)))
+    return sliced.hint("rebalance", *map(F.col, [*keys, "_slice"])).drop("_slice")
 
 
 def _partitioned(df: DataFrame, keys: list[str], mode: str = "overwrite"):
@@ -107,7 +114,8 @@ def _read_folders(spark: SparkSession, table: Storage, folders: list[str], base:
 
 
 def write_gold_parquet(gold: DataFrame, path: str, files: int | None = None) -> None:
-    """Gold panel by channel and year; ``files`` fixes the number of write tasks."""
+    """Gold panel by channel and year; ``files`` says in how many files each folder is cut, fewer if they are
+    small and more if one would be too much for a task."""
     _partitioned(_sized(gold, files, PARTITIONS), PARTITIONS).parquet(path)
 
 
@@ -148,7 +156,7 @@ def write_report(report: DataFrame, path: str, format: str = "csv", labels: bool
 
 
 def write_legacy_csv(panel: DataFrame, path: str) -> None:
-    """A panel as CSV: text arrays joined by ``", "``, struct arrays as JSON."""
+    """A panel as CSV: text arrays joined by ``", "``, struct arrays as JSON. Long files are cut by rows."""
     columns = []
     for field in panel.schema:
         column = F.col(field.name)
@@ -156,7 +164,8 @@ def write_legacy_csv(panel: DataFrame, path: str) -> None:
             texts = isinstance(field.dataType.elementType, T.StringType)
             column = F.concat_ws(", ", column) if texts else F.to_json(column)
         columns.append(column.alias(field.name))
-    panel.select(*columns).write.mode("overwrite").options(**CSV).csv(path)
+    writer = panel.select(*columns).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_UNSPLIT_FILE)
+    writer.options(**CSV).csv(path)
 
 
 def register_views(df: DataFrame, name: str) -> DataFrame:

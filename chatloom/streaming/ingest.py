@@ -39,10 +39,11 @@ def ingest_stream(
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(in_path)
+        # A batch is handed on as it was scanned: what is not dropped here, the text of every file, would be read.
+        .select("path", "length", F.col("modificationTime").alias("modified"))
     )
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        listed = batch.select("path", "length", F.col("modificationTime").alias("modified"))
+    def land(listed: DataFrame, batch_id: int) -> None:
         named = with_file_metadata(listed, F.col("path")).filter(F.col("file_name").isNotNull())
         take_up(named, out_path, f"batch-{batch_id:012d}")
 

@@ -172,3 +172,52 @@ def test_many_ranges_of_long_files_are_one_task(spark, land, monkeypatch):
     monkeypatch.setattr(kind, "mapInArrow", spy)
     assert read_chat(spark, raw, 500).count() == 8 * 40
     assert seen and seen[0] <= spark.sparkContext.defaultParallelism + 1
+
+
+def test_a_gold_folder_is_dealt_to_more_tasks_as_it_grows(spark, tmp_path):
+    from chatloom.sinks import write_gold_parquet
+
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id", "sha2(cast(id as string), 256) as text", "concat('chan', id % 6) as channel", "cast(2020 + id % 2 as int) as year"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_gold_parquet(rows, str(tmp_path / "gold"), files=3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    folders = [list(folder.glob("*.parquet")) for folder in (tmp_path / "gold").glob("*/*")]
+    assert len(folders) == 6 and all(1 <= len(files) <= 3 for files in folders)
+    assert max(spark.read.parquet(str(f)).count() for files in folders for f in files) < 60_000 / 6 + 1
+    assert spark.read.parquet(str(tmp_path / "gold")).count() == 60_000
+
+
+def test_legacy_csv_is_cut_by_rows(spark, tmp_path, monkeypatch):
+    from chatloom.sinks import tables
+
+    monkeypatch.setattr(tables, "ROWS_PER_UNSPLIT_FILE", 100)
+    rows = spark.range(0, 1000, 1, 1).select(F.col("id").cast("string").alias("i_user_id"), F.lit("a\nb").alias("message"))
+    tables.write_legacy_csv(rows, str(tmp_path / "legacy"))
+    assert len(list((tmp_path / "legacy").glob("*.csv"))) == 10
+    assert spark.read.option("header", True).option("multiLine", True).csv(str(tmp_path / "legacy")).count() == 1000
+
+
+def test_numbering_hands_no_table_to_the_driver(spark):
+    from chatloom.functions import numbered
+
+    rows = spark.range(0, 1000).selectExpr("id", "id % 3 as g")
+    result = numbered(rows, "n", ["g"], [F.expr("id div 100"), F.expr("id div 10")], ["id"])
+    assert "Broadcast" not in executed(result)
+    assert all(r.n == r.id // 3 + 1 for r in result.collect())
+
+
+def test_a_stream_reads_no_texts_of_files(spark, land, tmp_path, monkeypatch):
+    from conftest import message
+
+    from chatloom.streaming import ingest
+
+    plans = []
+    monkeypatch.setattr(ingest, "take_up", lambda files, *_: plans.append(files.sparkSession))
+    run = ingest.ingest_stream(spark, land(chan_2020_001_1=[message()]), str(tmp_path / "out"), str(tmp_path / "cp"))
+    run.awaitTermination()
+    text = run._jsq.explainInternal(False)
+    assert plans and "binaryFile" in text and "content" not in text
