@@ -234,3 +234,13 @@ def test_pipeline_stages(spark, documents):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == set(after)
     assert packed.groupBy("sequence_id").sum("length").filter("`sum(length)` > 2048").isEmpty()
     assert packing.pack(packed.select("doc_id", "length").limit(0)).count() == 0
+
+
+def test_a_short_text_is_learned_along():
+    trees = mixing.code_trees(np.ones((256, 256)))
+    tables = [np.random.default_rng(k).normal(0, 2, 1 << b).astype(np.float32) for k, b in enumerate(mixing.TABLE_BITS)]
+    mixer = mixing.Mixer(trees, tables, mixing.MixState())
+    text = "one short text of few words " * 60
+    once, _ = mixer.log_probability(text)
+    unlearned = sum(mixer.log_probability(text[at : at + 112])[0] for at in range(0, len(text), 112))
+    assert len(text) < 2000 and once > unlearned + 10
