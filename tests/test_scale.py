@@ -221,3 +221,15 @@ def test_a_stream_reads_no_texts_of_files(spark, land, tmp_path, monkeypatch):
     run.awaitTermination()
     text = run._jsq.explainInternal(False)
     assert plans and "binaryFile" in text and "content" not in text
+
+
+def test_landed_chat_is_compressed_a_file_a_broadcast(spark, tmp_path):
+    from workload import adapter
+
+    chat = spark.range(0, 400, 1, 8).selectExpr(
+        "named_struct('id', 'a') as author", "array(named_struct('name', 'e')) as emotes", "id as timestamp", "'0:01' as time_text",
+        "1.5D as time_in_seconds", "'m' as message", "'chan' as channel", "2020 as year", "cast(id % 10 * 21 as string) as vod_id",
+    )
+    adapter.write_chat(chat, str(tmp_path / "raw"))
+    files = list((tmp_path / "raw").glob("source=chan_*/part-*"))
+    assert len(files) == 10 and all(f.name.endswith(".gz") for f in files)
