@@ -233,3 +233,35 @@ def test_landed_chat_is_compressed_a_file_a_broadcast(spark, tmp_path):
     adapter.write_chat(chat, str(tmp_path / "raw"))
     files = list((tmp_path / "raw").glob("source=chan_*/part-*"))
     assert len(files) == 10 and all(f.name.endswith(".gz") for f in files)
+
+
+def test_landed_chat_is_written_by_the_tasks_alone(spark, tmp_path):
+    """Spark's writer starts processes for each local file and leaves a checksum file beside it."""
+    from workload import adapter
+
+    from chatloom.sources import read_chat
+
+    chat = spark.range(0, 400, 1, 8).selectExpr(
+        "named_struct('id', 'a') as author", "array(named_struct('name', 'e')) as emotes", "id as timestamp", "'0:01' as time_text",
+        "1.5D as time_in_seconds", "'m' as message", "if(id < 200, 'a=b/c', 'chan') as channel", "2020 as year",
+        "cast(id % 10 * 21 as string) as vod_id",
+    )
+    for kind in ("gzip", "none"):
+        raw = tmp_path / kind
+        adapter.write_chat(chat, str(raw), kind)
+        assert {f.parent.name for f in raw.rglob("*") if f.is_file()} == {f.name for f in raw.iterdir()}
+        assert len([f for f in raw.rglob("*") if f.is_file()]) == 20 + len(adapter.EDGE_FILES)
+        assert len(list(raw.glob("source=a%3Db%2Fc_*"))) == 10
+        read = read_chat(spark, str(raw)).filter("message = 'm' and time_text = '0:01' and timestamp < 400")
+        assert sorted(r.timestamp for r in read.select("timestamp").collect() if r.timestamp != 1) == [0, *range(2, 400)]
+
+
+def test_day_numbers_list_the_files_once(spark, land):
+    from conftest import message
+
+    from chatloom.sources import list_raw_files
+
+    files = list_raw_files(spark, land(chan_2020_001_1=[message()], chan_2020_007_2=[message()], chan_2020_007_3=[]))
+    numbers = catalog.day_number(files)
+    assert "binaryFile" not in executed(numbers)
+    assert tuples(numbers, "file_seq", "day_number") == [(1, 1), (7, 2), (7, 2)]
