@@ -13,7 +13,9 @@ rarely lead to candidates. Classes meet in blocks of one prefix shingle.
    hold the OR of the members' bitmaps, the range of set sizes, and whether all belong to one component.
    Two trees (or one with itself) are traversed together; pairs of nodes are dropped if they are of one
    component, if their sizes are too far apart, or if the most that their bitmaps let them have in common
-   is too little. The rest are verified on the whole sets.
+   is too little. Pairs of members then meet by bitmaps in proportion to their sets, in the same task.
+   First each block gives only the most similar pairs that would connect its components, fewer than it has
+   members; once these are verified on the whole sets, all pairs that are still of different components follow.
 
 So every pair is verified, impossible, or already connected: no link that matters is lost.
 """
@@ -35,6 +37,7 @@ from chatloom.session import scratch_dir
 SIG_BITS = 512
 SIG_WORDS = SIG_BITS // 64
 MAP_BITS = 22
+MOST_WORDS = 256  # of a bitmap that goes with a class into its blocks
 
 
 def prefix_size(n: int) -> int:
@@ -175,10 +178,11 @@ def prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return _pass(docs, "shingle bigint, class bigint", make)
 
 
-def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: np.ndarray, maps_only: bool = False) -> DataFrame:
     """Rows (class, copy, wide, shingles) of the documents whose id a bitmap names, and of few others.
 
-    Rows of equal class may come more than once; ``copy`` tells them apart once the rows are stored."""
+    Rows of equal class may come more than once; ``copy`` tells them apart once the rows are stored. With ``maps_only``
+    there are only (class, wide), the bitmap folded to at most ``MOST_WORDS`` words and without the set's size."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +195,11 @@ def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                 if not len(shingles) or (name := class_of(shingles)) in seen:
                     continue
                 seen.add(name)
-                sized = np.concatenate([[np.uint64(len(shingles))], wide_signature(shingles)])
-                rows.append((name, sized.tobytes(), shingles.tobytes()))
+                wide = wide_signature(shingles)
+                if maps_only:
+                    rows.append((name, folded(wide, min(len(wide), MOST_WORDS)).tobytes()))
+                else:
+                    rows.append((name, np.concatenate([[np.uint64(len(shingles))], wide]).tobytes(), shingles.tobytes()))
                 size += len(shingles)
                 if size > 1_000_000:
                     yield batch_of(rows)
@@ -202,9 +209,12 @@ def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
     def batch_of(rows):
         kinds = (pa.int64(), pa.binary(), pa.binary())
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["class", "wide", "shingles"])
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        return pa.record_batch(columns, ["class", "wide", "shingles"][: len(columns)])
 
     keyed = docs.select("text", id_key("doc_id").alias("key"))
+    if maps_only:
+        return keyed.mapInArrow(run, "class bigint, wide binary")
     sets = keyed.mapInArrow(run, "class bigint, wide binary, shingles binary")
     return sets.withColumn("copy", F.monotonically_increasing_id())
 
@@ -277,17 +287,54 @@ class SignatureTree:
             yield self.order[a][i], self.order[b][j]
 
 
-def tree_pairs(members: DataFrame, page: int = 20_000) -> DataFrame:
+def wide_bounds(wide: list[np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The most that wide bitmaps let the members of each pair (i, j) have in common."""
+    words = np.array([len(w) for w in wide])
+    level, most = np.minimum(words[i], words[j]), np.zeros(len(i), np.int64)
+    for width in np.unique(level):
+        at = np.flatnonzero(level == width)
+        who, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        maps = np.stack([folded(wide[k], width) for k in who])
+        extra = n[who] - popcount(maps)
+        x, y = place[: len(at)], place[len(at) :]
+        step = max(1, (1 << 20) // width)  # pairs whose bitmaps are met at a time
+        for k in range(0, len(at), step):
+            part = slice(k, k + step)
+            most[at[part]] = popcount(maps[x[part]] & maps[y[part]]) + np.minimum(extra[x[part]], extra[y[part]])
+    return np.minimum(most, np.minimum(n[i], n[j]))
+
+
+def forest(component: np.ndarray, i: np.ndarray, j: np.ndarray, parent: dict[int, int]) -> np.ndarray:
+    """Places of the pairs (i, j) that, taken in order, join components which those before have not joined."""
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    kept = []
+    for k, (a, b) in enumerate(zip(component[i].tolist(), component[j].tolist())):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[a] = b
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
+def tree_pairs(members: DataFrame, page: int = 20_000, trees_only: bool = False) -> DataFrame:
     """Candidate pairs (a, b) of each block, from rows (shingle, size, class, component, n, sig).
 
     A block of more than ``page`` rows is dealt over pages, and each pair of pages is a group of its
-    own, so a task holds two pages at most."""
+    own, so a task holds two pages at most. If rows have ``wide`` too, bitmaps in proportion to the sets, pairs have
+    to pass these before they leave the task. With ``trees_only`` a group gives only the pairs, the most similar ones
+    first, that would connect its components if all were links: fewer than it has members."""
     pages = F.ceil(F.col("size") / page).cast("int")
     own = F.pmod(F.xxhash64("class"), pages).cast("int")
     spread = members.withColumns({"_own": own, "_other": F.explode(F.sequence(F.lit(0), pages - 1))})
     spread = spread.withColumns({"_low": F.least("_own", "_other"), "_high": F.greatest("_own", "_other")})
     keys = ["shingle", "_low", "_high"]
-    dealt = spread.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "class", "component", "n", "sig")
+    extra = ["wide"] if "wide" in members.columns else []
+    dealt = spread.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "class", "component", "n", "sig", *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -305,12 +352,22 @@ def tree_pairs(members: DataFrame, page: int = 20_000) -> DataFrame:
     def solve(rows: pa.Table, change: np.ndarray) -> pa.RecordBatch:
         name, component, n = (rows[c].to_numpy() for c in ("class", "component", "n"))
         sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint64).reshape(-1, SIG_WORDS)
+        wide = [np.frombuffer(w, np.uint64) for w in rows["wide"].to_pylist()] if extra else []
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for start, stop in zip([0, *change], [*change, rows.num_rows]):
             if stop - start < 2 or component[start:stop].min() == component[start:stop].max():
                 continue
-            part = slice(start, stop)
-            for i, j in SignatureTree(component[part], n[part], sig[part]).pairs():
+            part, parent = slice(start, stop), {}
+            for i, j in gathered(SignatureTree(component[part], n[part], sig[part]).pairs()):
+                if extra:
+                    most = wide_bounds(wide[part], n[part], i, j)
+                    fits = similar(most, n[part][i], n[part][j])
+                    i, j, most = i[fits], j[fits], most[fits]
+                    order = np.argsort(-most / (n[part][i] + n[part][j] - most), kind="stable")
+                    i, j = i[order], j[order]
+                if trees_only:
+                    kept = forest(component[part], i, j, parent)
+                    i, j = i[kept], j[kept]
                 out_a.append(name[part][i])
                 out_b.append(name[part][j])
         a, b = np.concatenate(out_a), np.concatenate(out_b)
@@ -320,6 +377,19 @@ def tree_pairs(members: DataFrame, page: int = 20_000) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").dropDuplicates(["a", "b"])
 
 
+def gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]], least: int = 100_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs in longer arrays."""
+    held, size = [], 0
+    for pair in pairs:
+        held.append(pair)
+        size += len(pair[0])
+        if size >= least:
+            yield np.concatenate([i for i, _ in held]), np.concatenate([j for _, j in held])
+            held, size = [], 0
+    if held:
+        yield np.concatenate([i for i, _ in held]), np.concatenate([j for _, j in held])
+
+
 # --- verification and components -------------------------------------------------------------------
 
 
@@ -375,6 +445,11 @@ def _whole_test(x: np.ndarray, y: np.ndarray) -> bool:
     return bool(similar(int((both[1:] == both[:-1]).sum()), len(x), len(y)))
 
 
+def first_ids(names: DataFrame, classes: DataFrame) -> np.ndarray:
+    """A bitmap of the smallest ids of the classes that ``names`` lists: their documents are read again."""
+    return bitmap(classes.join(names, "class", "left_semi").select(id_key("first_id").alias("key")), "key")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
     """The stored pairs that are similar. Bitmaps in proportion to the sets leave few pairs that are
     not; for the rest the whole sets meet.
@@ -383,9 +458,8 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, label: str)
     or a bitmap that names too much), pairs choose one of them, so sets need no shuffle to be told apart."""
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    first = classes.join(ends, "class", "left_semi").select(id_key("first_id").alias("key"))
     path = scratch_dir(spark, f"sets-{label}")
-    sets_of(docs, bitmap(first, "key")).write.parquet(path)
+    sets_of(docs, first_ids(ends, classes)).write.parquet(path)
     sets = spark.read.parquet(path)
     chosen = sets.groupBy("class").agg(F.min("copy").alias("copy"))
     a, b = (chosen.select(F.col("class").alias(x), F.col("copy").alias(f"copy_{x}")) for x in "ab")
@@ -464,23 +538,40 @@ def link_groups(docs: DataFrame, common_from: int = 6, pivots: int = 3, id_col:
     path = scratch_dir(spark, "prefixes")
     prefixes(texts, bitmap(often, "repeated")).write.parquet(path)
     rows = spark.read.parquet(path)
-    blocks = rows.groupBy("shingle").agg(F.min("class").alias("pivot"), F.max("class").alias("other"))
     path = scratch_dir(spark, "blocks")
-    rows.join(blocks.filter("pivot < other").drop("other"), "shingle").write.parquet(path)
+    block = Window.partitionBy("shingle")
+    ends = {"pivot": F.min("class").over(block), "other": F.max("class").over(block)}
+    rows.withColumns(ends).filter("pivot < other").drop("other").write.parquet(path)
     met = spark.read.parquet(path)
     path = scratch_dir(spark, "stars")
     promising(star_pairs(met, pivots), classes).write.parquet(path)
     links = verified(texts, spark.read.parquet(path), classes, "stars")
     labels = components(links)
 
-    known = classes.join(labels, "class", "left").select("class", "n", "sig", F.coalesce("component", "class").alias("component"))
-    placed = met.select("shingle", "class").distinct().join(known.select("class", "component"), "class")
-    path = scratch_dir(spark, "pairs")
-    crossing = placed.join(mixed_blocks(placed), "shingle")
-    tree_pairs(crossing.join(known.select("class", "n", "sig"), "class")).write.parquet(path)
-    pairs = spark.read.parquet(path)
-    if not pairs.isEmpty():
-        labels = components(links.union(verified(texts, pairs, classes, "pairs")))
+    # First what connects the components of each block, if it is similar; then all that is left.
+    at = met.select("shingle", "class").distinct()
+    maps = None
+    for label in ("trees", "rest"):
+        known = classes.join(labels, "class", "left").select("class", "n", "sig", F.coalesce("component", "class").alias("component"))
+        placed = at.join(known.select("class", "component"), "class")
+        path = scratch_dir(spark, f"crossing-{label}")
+        placed.join(mixed_blocks(placed), "shingle").write.parquet(path)
+        at = spark.read.parquet(path)
+        if at.isEmpty():
+            break
+        if maps is None:
+            path = scratch_dir(spark, "maps")
+            sets_of(texts, first_ids(at, classes), maps_only=True).dropDuplicates(["class"]).write.parquet(path)
+            maps = spark.read.parquet(path)
+        path = scratch_dir(spark, f"pairs-{label}")
+        crossing = at.join(known.select("class", "n", "sig"), "class").join(maps, "class")
+        tree_pairs(crossing, trees_only=label == "trees").write.parquet(path)
+        pairs = spark.read.parquet(path)
+        if pairs.isEmpty():
+            break
+        links = links.union(verified(texts, pairs, classes, label))
+        labels = components(links)
+        at = at.select("shingle", "class")
 
     named = classes.select("class", "first_id").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

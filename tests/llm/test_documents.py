@@ -244,3 +244,19 @@ def test_a_short_text_is_learned_along():
     once, _ = mixer.log_probability(text)
     unlearned = sum(mixer.log_probability(text[at : at + 112])[0] for at in range(0, len(text), 112))
     assert len(text) < 2000 and once > unlearned + 10
+
+
+def test_tree_pairs_are_fewer_than_members_and_meet_by_wide_maps(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(1, 1 << 62, 2000).astype(np.uint64)
+    alike = [np.unique(np.concatenate([base[k:], rng.integers(1, 1 << 62, k).astype(np.uint64)])) for k in range(12)]
+    apart = [np.unique(rng.integers(1, 1 << 62, 2000).astype(np.uint64)) for _ in range(12)]
+    rows = [
+        (1, 24, k, k, len(s), jaccard.signature(s).tobytes(), jaccard.wide_signature(s).tobytes()) for k, s in enumerate(alike + apart)
+    ]
+    schema = "shingle long, size long, class long, component long, n long, sig binary, wide binary"
+    members = spark.createDataFrame(rows, schema)
+    every = {(r.a, r.b) for r in jaccard.tree_pairs(members).collect()}
+    assert every == {(a, b) for b in range(12) for a in range(b)}
+    few = {(r.a, r.b) for r in jaccard.tree_pairs(members, trees_only=True).collect()}
+    assert len(few) == 11 and few <= every
