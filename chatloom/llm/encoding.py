@@ -30,7 +30,7 @@ _LATIN = re.compile("[\\x00-\\u024f]*")
 LETTERS = "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
 NUMBERS = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 SHORT_FORMS = "'s|'t|'re|'ve|'m|'ll|'d"
-_WORD_PIECES = re.compile(f"{SHORT_FORMS}|[{LETTERS}]+|[{NUMBERS}]|[^{WHITE}{LETTERS}{NUMBERS}]+")
+_WORD_PIECES = re.compile(f"[{LETTERS}]+|{SHORT_FORMS}|[{NUMBERS}]|[^{WHITE}{LETTERS}{NUMBERS}]+")
 _BYTE_PIECES = re.compile(
     f"{SHORT_FORMS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{WHITE}{LETTERS}{NUMBERS}]+"
     f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
@@ -51,6 +51,11 @@ def byte_of_symbol() -> dict[str, int]:
 SYMBOLS = [symbol for symbol, _ in sorted(byte_of_symbol().items(), key=lambda item: item[1])]
 
 
+def spelled(piece: str) -> str:
+    """A piece in the byte-level alphabet, in which plain letters stand for themselves."""
+    return piece if piece.isascii() and piece.isalpha() else "".join(map(SYMBOLS.__getitem__, piece.encode()))
+
+
 class Encoder:
     """Cuts texts into chunks and sums up what a piece function says of their pretokens."""
 
@@ -62,7 +67,8 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         self.drops_blanks = self.spec["normalizer"] is not None
         self.split = _WORD_PIECES if self.drops_blanks else _BYTE_PIECES
-        self.pieces = Memo(lambda piece: self.piece("".join(map(SYMBOLS.__getitem__, piece.encode()))))
+        # For words this memo does what plain did for chunks besides, so it has the room of both.
+        self.pieces = Memo(lambda piece: self.piece(spelled(piece)), 600_000 if self.drops_blanks else 300_000)
         self.plain = Memo(self.chunk)
         self.spaced = Memo(lambda word: self.chunk(" " + word))
 
@@ -91,11 +97,11 @@ class Encoder:
 
     def parts(self, text: str) -> Iterable:
         """What each chunk gives, in the order of the text."""
+        if len(text) <= WHOLE and _LATIN.fullmatch(text) and not any(s in text for s in self.special):
+            return map(self.pieces.__getitem__, self.split.findall(text.lower() if self.drops_blanks else text))
         if self.drops_blanks:
             words = _WORDS.findall(text) if _NOT_WHITE.search(text) else text.split()
             return map(self.plain.__getitem__, words)
-        if len(text) <= WHOLE and _LATIN.fullmatch(text) and not any(s in text for s in self.special):
-            return map(self.pieces.__getitem__, self.split.findall(text))
         if BLANK_IN_RUN.search(text):
             return map(self.plain.__getitem__, _RUNS.findall(text))
         head, *words = text.split(" ")

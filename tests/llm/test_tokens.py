@@ -46,6 +46,17 @@ def test_ids_and_counts_are_the_librarys(path):
         assert counter.count(text) == len(want), repr(text)
 
 
+def test_words_with_marks_are_encoded_once():
+    library, encoder, made = library_of(WORD), Encoder(WORD), []
+    piece = encoder.piece
+    encoder.piece = lambda text: made.append(text) or piece(text)
+    text = "Word, word. (word) WORD's word!\n\tword\x1cword " * 3
+    want = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
+    assert made.count("word") == 1
+    assert not encoder.plain and "word," not in encoder.pieces
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_every_prefix_has_its_exact_count(path):
     library, counter = Tokenizer.from_file(path), PrefixCounter(path)
