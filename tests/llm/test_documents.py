@@ -246,6 +246,57 @@ def test_a_short_text_is_learned_along():
     assert len(text) < 2000 and once > unlearned + 10
 
 
+def test_texts_side_by_side_score_as_one_by_one_in_fewer_calls(monkeypatch):
+    rng = np.random.default_rng(5)
+    trees = mixing.code_trees(rng.random((256, 256)))
+    tables = [rng.normal(0, 1, 1 << b).astype(np.float32) for b in mixing.TABLE_BITS]
+    start = mixing.MixState(hits=rng.random(mixing.GATES * mixing.BUCKETS), seen=rng.random(mixing.GATES * mixing.BUCKETS) + 1)
+    mixer = mixing.Mixer(trees, tables, start)
+    words = ["one", "two", "Ünd", "x" * 40, "#!"]
+    texts = ["", " \n", "z" * 40_000, "long one " * 9000, *(" ".join(rng.choice(words, n)) for n in rng.integers(1, 400, 120))]
+    alone = [mixer.log_probability(text) for text in texts]
+    calls, step = [], mixing.Mixer._step
+    monkeypatch.setattr(mixing.Mixer, "_step", lambda self, *rest: calls.append(1) or step(self, *rest))
+    together = mixer.log_probabilities(iter(texts))
+    assert [n for _, n in together] == [n for _, n in alone]
+    assert np.allclose([p for p, _ in together], [p for p, _ in alone], rtol=1e-9, atol=0)
+    fewer, calls[:] = len(calls), []
+    for text in texts[4:]:
+        mixer.log_probability(text)
+    # The two long texts alone take some 400 steps one after the other; the short ones ride along.
+    assert len(calls) > 500 and fewer < len(calls)
+    assert mixer.log_probabilities([]) == [] and (mixer.start.seen >= 1).all() and len(mixer.start.weights) == mixing.GATES
+
+
+def test_bits_counted_by_unit_are_all_counted(monkeypatch):
+    monkeypatch.setattr(mixing, "UNITS", 1500)
+    monkeypatch.setattr(mixing, "TOGETHER", 500)
+    rng = np.random.default_rng(6)
+    trees = mixing.code_trees(rng.random((256, 256)))
+    words = np.array(["a", "bcd", "ÿé", "longer", "!", "q" * 30])
+    texts = ["", *(" ".join(rng.choice(words, n)) for n in (1, 3, 40, 150)), *(rng.bytes(300).hex() for _ in range(8))]
+    counts, want = mixing.BitCounts(trees), [np.zeros(2 << b, np.int64) for b in mixing.TABLE_BITS]
+    calls, slots = [], mixing.slots
+    for text in texts * 3:
+        for block in mixing.stream_of(text):
+            places, bit, _, _ = slots(trees, *mixing.contexts([block])[:2])
+            for table, p in zip(want, places):
+                table += np.bincount(p * np.uint32(2) + bit, minlength=len(table))
+    monkeypatch.setattr(mixing, "slots", lambda trees, tail, prefix: calls.append(len(tail)) or slots(trees, tail, prefix))
+    for text in texts * 3:
+        for block in mixing.stream_of(text):
+            counts.add(block)
+    assert all((a == b).all() for a, b in zip(counts.finish(), want))
+    assert len(calls) > 1 and max(calls) < 1500
+    calls.clear()
+    often = mixing.BitCounts(trees)
+    for _ in range(50):
+        for block in mixing.stream_of("the same words again and again " * 5):
+            often.add(block)
+    often.finish()
+    assert sum(calls) < 200  # of 7,750 bytes
+
+
 def test_tree_pairs_are_fewer_than_members_and_meet_by_wide_maps(spark):
     rng = np.random.default_rng(7)
     base = rng.integers(1, 1 << 62, 2000).astype(np.uint64)
