@@ -311,3 +311,59 @@ def test_tree_pairs_are_fewer_than_members_and_meet_by_wide_maps(spark):
     assert every == {(a, b) for b in range(12) for a in range(b)}
     few = {(r.a, r.b) for r in jaccard.tree_pairs(members, trees_only=True).collect()}
     assert len(few) == 11 and few <= every
+
+
+def test_op5_learns_from_every_training_text(spark, monkeypatch):
+    """Long texts and all others are in the code trees, in the bit tables and in the starting weights."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.bytes(6).hex() for _ in range(60)) for _ in range(39)] + [" ".join(rng.bytes(5).hex().upper() for _ in range(3000)), None]
+    seen, learned_start, code_trees = {}, mixing.learned_start, mixing.code_trees
+
+    def kept(name, f):
+        def g(*args):
+            seen[name] = args, f(*args)
+            return seen[name][1]
+        return g
+
+    monkeypatch.setattr(mixing, "code_trees", kept("trees", code_trees))
+    monkeypatch.setattr(mixing, "_tables", kept("tables", mixing._tables))
+    monkeypatch.setattr(mixing, "learned_start", lambda lessons: learned_start(kept("lessons", lessons)))
+    docs = spark.createDataFrame([(None, t) for t in texts] * 2, "doc_id long, text string").repartition(3)
+    scored = mixing.score_texts(docs).collect()
+    trees, pairs = seen["trees"][1], np.zeros((256, 256))
+    tables = [np.zeros((1 << b, 2)) for b in mixing.TABLE_BITS]
+    for text in texts:
+        for block in mixing.stream_of(text or ""):
+            np.add.at(pairs, (block[4:-1], block[5:]), 2)
+            places, bit, _, _ = mixing.slots(trees, *mixing.contexts([block])[:2])
+            for table, p in zip(tables, places):
+                np.add.at(table, (p, bit), 2)
+    assert np.allclose(seen["trees"][0][0], pairs + pairs.sum(0) / pairs.sum())
+    for table, counts in zip(seen["tables"][1][2], tables):
+        assert (table == np.log((counts[:, 1] + 0.3) / (counts[:, 0] + 0.3)).astype(np.float16)).all()
+    assert seen["lessons"][1].seen.sum() == tables[0].sum()  # every bit of every text
+    words = [r for r in scored if r.n_tokens == 61]
+    assert len(words) == 78 and max(r.bits_per_byte for r in words) < 2 * min(r.bits_per_byte for r in words)
+    assert max(r.bits_per_byte for r in scored if r.n_tokens == 3001) < 2
+
+
+def test_starting_weights_are_those_of_the_least_loss():
+    rng = np.random.default_rng(9)
+    trees = mixing.code_trees(np.ones((256, 256)))
+    tables = [rng.normal(0, 1, 1 << b).astype(np.float32) for b in mixing.TABLE_BITS]
+    blocks = [b for _ in range(40) for b in mixing.stream_of(rng.bytes(400).hex(" ", 3))]
+    tail, prefix, _ = mixing.contexts(blocks)
+
+    def lessons(weights):
+        total = mixing.Lessons()
+        total.add(trees, tables, weights, (tail, prefix, np.ones(len(tail), np.uint32)))
+        return total
+
+    start = mixing.learned_start(lessons)
+    least = lessons(start.weights).loss.sum()
+    assert least < lessons(np.full_like(start.weights, 0.3)).loss.sum() - 10
+    for k in range(4):
+        for move in (-0.2, 0.2):
+            weights = start.weights.copy()
+            weights[:, k] += move
+            assert lessons(weights).loss.sum() > least
