@@ -1,5 +1,7 @@
 """Plans and writes as they would be with large inputs: no broadcast, tiny size targets, a hot key."""
 
+import os
+
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
@@ -265,3 +267,33 @@ def test_day_numbers_list_the_files_once(spark, land):
     numbers = catalog.day_number(files)
     assert "binaryFile" not in executed(numbers)
     assert tuples(numbers, "file_seq", "day_number") == [(1, 1), (7, 2), (7, 2)]
+
+
+def test_split_read_lands_plain_files_share_by_share(spark, tmp_path, monkeypatch):
+    """Each share of the broadcasts is landed, read and deleted before the next; no row is lost or doubled."""
+    from workload import adapter
+    from workload.queries import QUERIES
+
+    tables = {
+        "region": "select 0 as r_regionkey, 'ASIA' as r_name union all select 1, 'MIDDLE EAST' union all select 2, 'EUROPE' union all select 3, 'AFRICA' union all select 4, 'AMERICA'",
+        "customer": "select id as c_custkey, concat('C', id) as c_name, 'S' as c_mktsegment from range(20)",
+        "part": "select id as p_partkey, 'b' as p_brand, 't' as p_type, concat('p', id) as p_name from range(30)",
+        "orders": "select id as o_orderkey, id % 20 as o_custkey from range(1400)",
+        "lineitem": "select id % 1400 as l_orderkey, id % 30 as l_partkey, 40.0 as l_quantity, cast(id % 7 as int) as l_linenumber, 'N' as l_returnflag, date'2020-01-01' as l_shipdate from range(4200)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    whole = sorted(map(tuple, QUERIES["read_chat_split"](spark, str(tmp_path)).collect()), key=str)
+    landed, write = [], adapter.write_chat
+    before = []
+
+    def seen(chat, path, *rest):
+        before.append([p for p in landed if os.path.exists(p)])
+        landed.append(path)
+        write(chat, path, *rest)
+
+    monkeypatch.setattr(adapter, "write_chat", seen)
+    monkeypatch.setattr(adapter, "SHARE_MESSAGES", 1000)
+    shared = sorted(map(tuple, QUERIES["read_chat_split"](spark, str(tmp_path)).collect()), key=str)
+    assert shared == whole and len(whole) == 4200 + 3
+    assert len(landed) == 5 and before == [[]] * 5 and not any(map(os.path.exists, landed))
