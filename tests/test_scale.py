@@ -297,3 +297,36 @@ def test_split_read_lands_plain_files_share_by_share(spark, tmp_path, monkeypatc
     shared = sorted(map(tuple, QUERIES["read_chat_split"](spark, str(tmp_path)).collect()), key=str)
     assert shared == whole and len(whole) == 4200 + 3
     assert len(landed) == 5 and before == [[]] * 5 and not any(map(os.path.exists, landed))
+
+
+def test_facts_of_paths_take_no_pattern_per_row(spark):
+    from chatloom.functions.columns import may_be_of_years, plain_path
+
+    paths = ["file:///a/x%20y+z.json", "file:/a/b", "file:////a%25", "s3a://b/c%2B", "file:/", "/plain+", None, "hdfs://h/file:/x"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string")
+    old = F.regexp_replace(F.url_decode(F.replace("p", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    assert all(r.new == r.old for r in rows.select(plain_path(F.col("p")).alias("new"), old.alias("old")).collect())
+    assert "regexp" not in executed(rows.select(plain_path(F.col("p"))))
+    names = spark.createDataFrame([("d/source=c_2020_1_2.json/part",), ("d/c_2020_2021_3.json",), ("d/c_2019_1.json",)], "p string")
+    assert [r[0] for r in names.select(may_be_of_years(F.col("p"), [2020, 2022])).collect()] == [True, True, False]
+    assert not any(r[0] for r in names.select(may_be_of_years(F.col("p"), [])).collect())
+
+
+def test_silver_opens_no_file_of_other_years_and_takes_names_once(spark, land, tmp_path, monkeypatch):
+    from conftest import message
+
+    from chatloom.plans import build_silver, silver
+
+    raw = land(chan_2020_001_1=[message(["e"])], chan_2019_002_2=[message(["e"])], chan_2021_2020_3=[message(["e"])])
+    plans, named = [], silver.with_file_metadata
+
+    def seen(df, *args, **kwargs):
+        plans.append(df)
+        return named(df, *args, **kwargs)
+
+    monkeypatch.setattr(silver, "with_file_metadata", seen)
+    report, status = build_silver(spark, raw, str(tmp_path / "staged"), str(tmp_path / "silver"), "2020")
+    assert "split" not in executed(plans[0]) and "2019" not in "".join(plans[0].select("_metadata.file_path").distinct().toPandas()["file_path"])
+    assert [(r.year, r.total_files, r.processed_files) for r in report.collect()] == [(2020, 1, 1)]
+    assert [r.file_name for r in status.collect()] == ["chan_2020_001_1.json"]
+    assert read_silver(spark, str(tmp_path / "silver")).select("vod_id").collect() == [("1",)]
